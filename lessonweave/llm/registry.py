@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from lessonweave.llm import decontamination
+from lessonweave.llm import decontamination, packing, topk
 
 QUERIES = {
+    "op2_packing": packing.op2_packing,
+    "op8_topk": topk.op8_topk,
     "op9_decontamination": decontamination.op9_decontamination,
 }
 
 ORACLE_SQL = {
+    "op8_topk": topk.OP8_SQL,
     "op9_decontamination": decontamination.OP9_SQL,
 }
