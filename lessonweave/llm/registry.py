@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from lessonweave.llm import decontamination, packing, topk
+from lessonweave.llm import decontamination, packing, quality, topk, toxicity
 
 QUERIES = {
     "op2_packing": packing.op2_packing,
+    "op4_quality": quality.op4_quality,
     "op8_topk": topk.op8_topk,
     "op9_decontamination": decontamination.op9_decontamination,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL = {
