@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from lessonweave.llm import decontamination, packing, quality, topk, toxicity
+from lessonweave.llm import decontamination, licences, packing, pii, quality, topk, toxicity
 
 QUERIES = {
     "op2_packing": packing.op2_packing,
     "op4_quality": quality.op4_quality,
+    "op6_pii": pii.op6_pii,
+    "op7_licences": licences.op7_licences,
     "op8_topk": topk.op8_topk,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_toxicity": toxicity.op10_toxicity,

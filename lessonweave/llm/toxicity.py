@@ -131,7 +131,7 @@ def train(texts: list[str], toxic: list[int], most_features: int = 2048, least_d
     return Severity(words[chosen], weight, np.cumsum(np.concatenate([theta[:1], np.exp(theta[1:])])))
 
 
-def fit_severity(documents: DataFrame, labels: DataFrame, sample_rows: int = 6000, sample_chars: int = 65536) -> Severity:
+def fit_severity(documents: DataFrame, labels: DataFrame, sample_rows: int = 4000, sample_chars: int = 65536) -> Severity:
     """Learn ``labels.toxic`` from a bounded sample of the rows that are not held out."""
     ids = labels.where(~held_out() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("__label"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
