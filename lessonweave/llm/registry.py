@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from lessonweave.llm import decontamination, licences, packing, pii, quality, topk, toxicity
+from lessonweave.llm import decontamination, jaccard, licences, line_dedup, packing, pii, quality, topk, toxicity
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_packing": packing.op2_packing,
     "op4_quality": quality.op4_quality,
+    "op5_jaccard": jaccard.op5_jaccard,
     "op6_pii": pii.op6_pii,
     "op7_licences": licences.op7_licences,
     "op8_topk": topk.op8_topk,
@@ -15,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op5_jaccard": jaccard.OP5_SQL,
     "op8_topk": topk.OP8_SQL,
     "op9_decontamination": decontamination.OP9_SQL,
 }
