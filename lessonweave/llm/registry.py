@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from lessonweave.llm import decontamination, jaccard, licences, line_dedup, packing, pii, quality, topk, toxicity
+import corpus_pipeline
+from lessonweave.llm import decontamination, html_extract, jaccard, licences, line_dedup, packing, pii, quality, topk, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_packing": packing.op2_packing,
+    "op3_html": html_extract.op3_html,
     "op4_quality": quality.op4_quality,
     "op5_jaccard": jaccard.op5_jaccard,
     "op6_pii": pii.op6_pii,
@@ -14,6 +16,7 @@ QUERIES = {
     "op8_topk": topk.op8_topk,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_toxicity": toxicity.op10_toxicity,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
