@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from lessonweave.plans import catalog_queries
+
+_FAMILIES = [catalog_queries]
+
+QUERIES = {name: f for family in _FAMILIES for name, f in family.QUERIES.items()}
+ORACLE_SQL = {name: sql for family in _FAMILIES for name, sql in family.SQL.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return QUERIES["tree_flatten"](spark, sf_dir)
