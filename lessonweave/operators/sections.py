@@ -25,7 +25,7 @@ def answer_zone(blocks: DataFrame, doc: str, order: Column, is_start: Column) ->
 #: What a block begins with.
 HEADINGS = r"^(学习目标|课前学习任务|课上学习任务|课后练习答案|课后练习|参考答案|推荐的学习资源)"
 TASK = r"^【?学习任务([一二三四五六七八九十]+)】?"
-NUMBER = r"^([0-9０-９]{1,2})[.．、](?![0-9])"
+NUMBER = r"^([0-9０-９]{1,2})(?:\.(?![0-9])|[．、])"
 OPTION = r"^([A-H])[.．、]"
 ANSWER = r"^【?(答案|解析|参考答案)】?[:：]?"
 
