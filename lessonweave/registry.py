@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lessonweave.plans import answer_queries, catalog_queries, math_queries, sequence_queries, text_queries
+from lessonweave.plans import answer_queries, catalog_queries, markup_queries, math_queries, sequence_queries, text_queries
 
-_FAMILIES = [answer_queries, catalog_queries, text_queries, sequence_queries, math_queries]
+_FAMILIES = [answer_queries, catalog_queries, text_queries, sequence_queries, markup_queries, math_queries]
 
 QUERIES = {name: f for family in _FAMILIES for name, f in family.QUERIES.items()}
 ORACLE_SQL = {name: sql for family in _FAMILIES for name, sql in family.SQL.items()}
