@@ -76,10 +76,13 @@ def _sentences() -> list[tuple[str, str]]:
 def fit_licences(documents: DataFrame, text: str = "text", sample_paragraphs: int = 5000, threshold: float = 0.6, rounds: int = 400) -> LicenceModel:
     """Train on the templates and on ``sample_paragraphs`` paragraphs of the corpus with the smallest
     hashes; those that name a licence themselves are left out of the sample."""
-    docs = documents.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).where("t <> ''")
-    docs = docs.select("t", F.xxhash64("t").alias("h")).orderBy("h").limit(max(1, sample_paragraphs // 5))
+    texts = documents.select(F.col(text).cast("string").alias("t"), F.xxhash64(F.col(text).cast("string")).alias("h")).where("t <> ''")
+    # Hashes first, so that no task gathers texts; the largest chosen one then tells which texts to take.
+    hashes = texts.select("h").distinct().orderBy("h").limit(max(1, sample_paragraphs // 5))
+    last = hashes.agg(F.max("h")).first()[0]
+    docs = texts.where(F.col("h") <= (last if last is not None else 0)).dropDuplicates(["h"])
     lines = docs.select(F.explode(F.slice(F.reverse(F.array_sort(F.split("t", "\n"))), 1, 5)).alias("line")).where(~F.col("line").rlike("(?i)licen[sc]"))
-    corpus = [words_of(r[0])[:400] for r in lines.limit(sample_paragraphs).collect()]
+    corpus = [words_of(r[0])[:400] for r in lines.collect()]
     made = _sentences()
     names = {g for s, _ in made for g in grams(words_of(s))}
     often: dict[str, int] = {}
