@@ -103,7 +103,11 @@ def train(texts: list[str], labels: list[int], steps: int = 500, batch: int = 48
         return net
     net.offset[0] = np.log(share / (1 - share))
     data, offsets = flat_text(pa.array(texts))
-    x, row = chunks(data, offsets)
+    parts = []
+    for lo, hi in spans_of_rows(offsets, 1 << 20):  # in parts, as the indices take more room than the chunks
+        own, row = chunks(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+        parts.append((own, row + lo))
+    x, row = np.concatenate([p for p, _ in parts]), np.concatenate([r for _, r in parts])
     first = np.searchsorted(row, np.arange(len(texts) + 1))
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parts()]
     order = np.empty(0, np.int64)
