@@ -17,6 +17,8 @@ length is packed whole; an empty table gives no pieces.
 from __future__ import annotations
 
 import base64
+import json
+import os
 from array import array
 from collections.abc import Iterator
 
@@ -38,22 +40,26 @@ def encoder(json_path: str, ranks_path: str | None, pattern: str | None):
     """A function from a text to its ids."""
     key = (json_path, ranks_path)
     if key not in _encoders:
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        held: list = []
+
+        def full(text: str) -> list[int]:
+            if not held:  # takes much memory, and few texts need it where there are ranks
+                from tokenizers import Tokenizer
+
+                held.append(Tokenizer.from_file(json_path))
+            return held[0].encode(text, add_special_tokens=False).ids
 
-        full = Tokenizer.from_file(json_path)
+        _encoders[key] = full
         if ranks_path:
             import tiktoken
 
             with open(ranks_path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            with open(json_path, encoding="utf-8") as f:
+                special = [t["content"] for t in json.load(f)["added_tokens"]]
             fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-            special = [t.content for t in full.get_added_tokens_decoder().values()]
-            _encoders[key] = lambda text: full.encode(text, add_special_tokens=False).ids if any(s in text for s in special) else fast(text)
-        else:
-            _encoders[key] = lambda text: full.encode(text, add_special_tokens=False).ids
+            _encoders[key] = lambda text: full(text) if any(s in text for s in special) else fast(text)
     return _encoders[key]
 
 
