@@ -74,17 +74,32 @@ def sectionize(blocks: DataFrame) -> DataFrame:
     return blocks.select("doc", "idx", "text").repartition("doc").sortWithinPartitions("doc", "idx").mapInArrow(run, schema)
 
 
-def paginate(sections: DataFrame, doc: str, order: str, height: str, page: int, rounds: int = 5) -> DataFrame:
+def paginate(sections: DataFrame, doc: str, order: str, height: str, page: int) -> DataFrame:
     """Page numbers by cumulative height. A section that would be cut by a page's end is moved to the next
-    page, which moves all that follow; this is repeated until nothing moves, ``rounds`` times at most."""
-    w = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = sections.withColumn("__pad", F.lit(0).cast("long"))
-    for _ in range(rounds):
-        top = F.sum(F.col(height) + F.col("__pad")).over(w) - F.col(height)
-        cut = (F.col(height) <= page) & (F.floor(F.col("__top") / page) != F.floor((F.col("__top") + F.col(height) - 1) / page))
-        first = F.min(F.when(cut, F.col(order))).over(Window.partitionBy(doc))
-        room = page - F.pmod(F.col("__top"), F.lit(page))
-        out = out.withColumn("__top", top).withColumn("__first", first)
-        out = out.withColumn("__pad", F.col("__pad") + F.when(F.col(order) == F.col("__first"), room).otherwise(0)).drop("__first")
-    top = F.sum(F.col(height) + F.col("__pad")).over(w) - F.col(height)
-    return out.withColumn("page", F.floor(top / page)).drop("__pad", "__top")
+    page, which moves all that follow; one higher than a page stays where it begins. A section without a
+    height has no page.
+
+    Where a section begins depends on all moves before it, so this is a fold. Sections reach a task sorted by
+    document and stream through it; the state is the height used so far.
+    """
+    at, by = sections.columns.index(doc), sections.columns.index(height)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, top = object(), 0
+        for batch in batches:
+            pages: list[int | None] = []
+            for d, h in zip(batch.column(at).to_pylist(), batch.column(by).to_pylist(), strict=True):
+                if d != now:
+                    now, top = d, 0
+                if h is None:
+                    pages.append(None)
+                    continue
+                if h <= page < top % page + h:
+                    top += page - top % page
+                pages.append(int(top // page))
+                top += h
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pages, pa.int64())], names=names)
+
+    schema = sections.withColumn("page", F.lit(None).cast("long")).schema
+    names = schema.names
+    return sections.repartition(doc).sortWithinPartitions(doc, order).mapInArrow(run, schema)

@@ -83,6 +83,22 @@ def test_no_section_is_cut_if_it_fits(spark):
         assert all(v <= 400 for v in used.values()) and list(used) == sorted(used)
 
 
+def test_all_cuts_of_a_long_document_are_settled(spark):
+    rng = random.Random(4)
+    df = spark.createDataFrame([(d, i, rng.choice([24, 42, 60, 186, 390, 900])) for d in range(2) for i in range(500)], "doc int, idx int, h long")
+    rows = sections.paginate(df, "doc", "idx", "h", 740).orderBy("doc", "idx").collect()
+    for d in range(2):
+        page, left = 0, 740
+        for r in (r for r in rows if r["doc"] == d):
+            while left <= 0:
+                page, left = page + 1, left + 740
+            if left < r["h"] <= 740:
+                page, left = page + 1, 740
+            assert r["page"] == page
+            left -= r["h"]
+        assert page > 50
+
+
 @pytest.mark.parametrize(
     "tex, want",
     [
