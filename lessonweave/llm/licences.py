@@ -74,29 +74,34 @@ def _sentences() -> list[tuple[str, str]]:
 
 
 def fit_licences(documents: DataFrame, text: str = "text", sample_paragraphs: int = 5000, threshold: float = 0.6, rounds: int = 400) -> LicenceModel:
-    """Train on the templates and on ``sample_paragraphs`` paragraphs of the corpus with the smallest
-    hashes; those that name a licence themselves are left out of the sample."""
-    texts = documents.select(F.col(text).cast("string").alias("t"), F.xxhash64(F.col(text).cast("string")).alias("h")).where("t <> ''")
-    # Hashes first, so that no task gathers texts; the largest chosen one then tells which texts to take.
-    hashes = texts.select("h").distinct().orderBy("h").limit(max(1, sample_paragraphs // 5))
-    last = hashes.agg(F.max("h")).first()[0]
-    docs = texts.where(F.col("h") <= (last if last is not None else 0)).dropDuplicates(["h"])
-    lines = docs.select(F.explode(F.slice(F.reverse(F.array_sort(F.split("t", "\n"))), 1, 5)).alias("line")).where(~F.col("line").rlike("(?i)licen[sc]"))
-    corpus = [words_of(r[0])[:400] for r in lines.collect()]
+    """Train on the templates and on ``sample_paragraphs`` different paragraphs of the corpus with the smallest
+    hashes. Which words are rare is counted over all paragraphs. Those that name a licence themselves are left
+    out of both. Of a paragraph of any length, only the templates' n-grams come to the driver."""
     made = _sentences()
     names = {g for s, _ in made for g in grams(words_of(s))}
-    often: dict[str, int] = {}
-    for w in corpus:
-        for g in grams(w) & names:
-            often[g] = often.get(g, 0) + 1
+    t = F.col(text).cast("string")
+    lines = documents.where(t.isNotNull()).select(F.explode(F.split(t, "\n")).alias("line"))
+    lines = lines.where((F.trim("line") != "") & ~F.col("line").rlike("(?i)licen[sc]"))
+    words = F.array(*[F.lit(g) for g in sorted(names) if " " not in g])
+    # A null stands for the paragraph itself.
+    seen = lines.select(F.explode(F.concat(F.array_intersect(_split_words(F.col("line")), words), F.array(F.lit(None).cast("string")))).alias("w"))
+    often = {r[0]: r[1] for r in seen.groupBy("w").count().collect()}
+    total = often.pop(None, 0)
+    # Hashes first, so that no task gathers texts; the largest chosen one then tells which paragraphs to take.
+    hashed = lines.withColumn("h", F.xxhash64("line"))
+    last = hashed.select("h").distinct().orderBy("h").limit(max(1, sample_paragraphs)).agg(F.max("h")).first()[0]
+    chosen = hashed.where(F.col("h") <= (last if last is not None else 0))
+    known = F.from_json(F.lit(json.dumps(sorted(names))), "array<string>")
+    grams_in = chosen.select("h", F.array_intersect(_let(_words(F.col("line")), _grams), known).alias("g")).dropDuplicates(["h"])
+    corpus = [set(r[1]) for r in sorted(grams_in.collect(), key=lambda r: r[0])]
     # A feature must be rare in the corpus: at most one in five hundred of its paragraphs.
     # A pair of words counts only if one of the two is a feature itself, so that paragraphs can be told by words.
-    single = {g for g in names if " " not in g and often.get(g, 0) * 500 <= len(corpus) and any(c.isalpha() for c in g) and len(g) > 1}
+    single = {g for g in names if " " not in g and often.get(g, 0) * 500 <= total and any(c.isalpha() for c in g) and len(g) > 1}
     features = sorted(single | {g for g in names if " " in g and single & set(g.split(" "))})
     place = {g: i for i, g in enumerate(features)}
     examples = [(grams(words_of(s)), CLASSES.index(c)) for s, c in made]
     # Most paragraphs of the corpus have no feature at all; they all are one weighted example.
-    own = [g for g in (grams(w) & place.keys() for w in corpus) if g]
+    own = [g for g in (w & place.keys() for w in corpus) if g]
     examples += [(g, 0) for g in own] + [(set(), 0)] * 50
     apart = np.arange(len(examples)) % 7 == 3
     x = np.zeros((len(examples), len(features)))
@@ -124,8 +129,17 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def _split_words(p: Column) -> Column:
+    return F.split(F.lower(p), "[^0-9a-z]+")
+
+
 def _words(p: Column) -> Column:
-    return F.filter(F.split(F.regexp_replace(F.lower(p), "[^0-9a-z]+", " "), " "), lambda w: w != "")
+    return F.filter(_split_words(p), lambda w: w != "")
+
+
+def _grams(words: Column) -> Column:
+    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.when(a.isNotNull() & b.isNotNull(), F.concat_ws(" ", a, b)))
+    return F.array_distinct(F.concat(words, pairs))
 
 
 def _let(value: Column, body) -> Column:
@@ -139,8 +153,7 @@ def _classify(p: Column, model: LicenceModel) -> Column:
     templates = F.from_json(F.lit(json.dumps(model.templates)), "map<string,array<array<string>>>")
 
     def of_words(words: Column) -> Column:
-        pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.when(a.isNotNull() & b.isNotNull(), F.concat_ws(" ", a, b)))
-        rows = F.filter(F.transform(F.array_distinct(F.concat(words, pairs)), lambda g: F.element_at(table, g)), lambda row: row.isNotNull())
+        rows = F.filter(F.transform(_grams(words), lambda g: F.element_at(table, g)), lambda row: row.isNotNull())
         z = F.aggregate(rows, F.array(*[F.lit(v) for v in model.bias]), lambda acc, row: F.zip_with(acc, row, lambda a, b: a + b))
         return _let(z, lambda z: _let(F.array_max(z), lambda top: of_scores(F.transform(z, lambda v: F.exp((v - top) / F.lit(model.temperature))), words)))
 

@@ -133,6 +133,13 @@ def test_licences(spark, tables):
     assert licences.fit_licences(docs.limit(0)).weights and licences.scan_licences(docs.limit(0), model).count() == 0
 
 
+def test_licence_features_are_counted_in_all_paragraphs(spark):
+    # "zeta" and "foo" stand in one paragraph of ten, but in none of a text's five last ones by alphabet.
+    rows = [(i, "\n".join(["a zeta line " + str(i), "w " * 500 + "foo", *(f"z{k} words {i}" for k in range(8))])) for i in range(300)]
+    model = licences.fit_licences(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), sample_paragraphs=50)
+    assert not {"zeta", "foo"} & set(model.weights) and {"mozilla", "bar"} <= set(model.weights)
+
+
 def test_main_text_of_all_pages(spark, tables):
     got = {r["page_id"]: r["text"] for r in html_extract.op3_html(spark, SF).collect()}
     for r in tables["pages"].collect():
