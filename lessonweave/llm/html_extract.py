@@ -1,6 +1,6 @@
 """Main text of web pages by template deduction over pages of the same host.
 
-A token is a block-level tag, or the text of a whole block, with the path of block-level elements that it stands in. Over
+A token is a block-level tag, or the text of a whole block over its inline elements, with the path of block-level elements that it stands in. Over
 the pages of a host, tokens with equal occurrence vectors (how often they occur on which pages; compared by
 a hash that is the same in any order) form an equivalence class. Classes that are large (three tokens) and
 frequent (a tenth of the host's pages, three at least) belong to the template. On a page, a class holds if
@@ -148,10 +148,18 @@ def _hash(*parts: str) -> int:
     return int.from_bytes(hashlib.blake2b("\x00".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def _whole_blocks(page: Page) -> set[int]:
-    """Places of texts that are all of a block; a text with markup in it is several and no token."""
-    n = len(page.texts)
-    return {k for k, t in enumerate(page.texts) if t.value and (k == 0 or not page.texts[k - 1].value) and (k == n - 1 or not page.texts[k + 1].value)}
+def _whole_blocks(page: Page) -> list[tuple[int, int, int]]:
+    """(start, end, token) of the pieces of text that make up each block; inline markup parts a block into
+    several pieces."""
+    out, n, k = [], len(page.texts), 0
+    while k < n:
+        start = k
+        while k < n and page.texts[k].value:
+            k += 1
+        if v := _clean("".join(t.value for t in page.texts[start:k])):
+            out.append((start, k, _hash("text", ">".join(page.paths[page.texts[start].path]), v)))
+        k += 1
+    return out
 
 
 def _is_apart(path: tuple[str, ...]) -> bool:
@@ -208,11 +216,8 @@ def _page_tokens(page: Page) -> dict[tuple[int, int], list]:
     for k, (name, path) in enumerate(page.tokens):
         joined = ">".join(page.paths[path])
         add(TAG, _hash("tag", joined, name), k, joined)
-    for k in sorted(_whole_blocks(page)):
-        t = page.texts[k]
-        if len(t.value) <= 200 and (v := _clean(t.value)):
-            joined = ">".join(page.paths[t.path])
-            add(TEXT, _hash("text", joined, v), k, joined)
+    for k, _, token in _whole_blocks(page):
+        add(TEXT, token, k, ">".join(page.paths[page.texts[k].path]))
     if not any(_main_of(p) for p in page.paths):
         path = ">".join(_densest(page))
         add(MAIN, _hash("main", path), 0, path)
@@ -297,13 +302,14 @@ def main_text(html: str, template: Template | None) -> str:
         inside = i in main_paths if main_paths else path[: len(main)] == main
         use.append(inside and not _is_apart(slot) and not _is_apart(path))
     out = []
-    whole = _whole_blocks(page) if template and template.texts and not main_paths else set()
+    blocks = _whole_blocks(page) if template and template.texts and not main_paths else []
+    repeated = {k for start, end, token in blocks if token in template.texts for k in range(start, end)}
     for k, t in enumerate(page.texts):
         if not t.value:
             out.append(" ")
         elif use[t.path]:
             # Template text goes where it stands outside of articles; an article's own words never do.
-            if k in whole and len(t.value) <= 200 and _hash("text", ">".join(page.paths[t.path]), _clean(t.value)) in template.texts:
+            if k in repeated:
                 out.append(" ")
             else:
                 out.append(html_lib.unescape(t.value))

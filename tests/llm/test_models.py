@@ -160,6 +160,15 @@ def test_other_templates(spark):
     assert html_extract.extract_text(df.limit(0)).count() == 0
 
 
+def test_long_and_linked_template_text_goes(spark):
+    notice = "<p>We use <b>small</b> files. <a href=/more>More</a></p>"
+    legal = "<p>" + "All rights of this site are with its owner and with nobody else. " * 6 + "</p>"
+    page = lambda k: f"<html><body><div id=content><h2>Title {k}</h2>{notice}<p>Own <a href=x>words</a> of page {k} {'and more ' * 40}</p>{legal}</div></body></html>"
+    df = spark.createDataFrame([(k, f"http://h.example/{k}", page(k)) for k in range(6)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["__text"] for r in html_extract.extract_text(df).collect()}
+    assert got == {k: f"Title {k} Own words of page {k} {'and more ' * 40}".strip() for k in range(6)}
+
+
 def test_pipeline_stages(spark, tables, tmp_path):
     docs = tables["documents"]
     kept = {}
