@@ -8,6 +8,10 @@ family is confirmed by comparison with its templates: enough of one template's w
 paragraph. A family that isn't confirmed, or whose calibrated probability is below ``threshold``, is
 ``unknown``.
 
+A notice may be wrapped: where a line alone has no confirmed family, it is classified together with the lines
+after it, up to a blank line or a line with a confirmed family of its own, and up to twice the words of the longest template. The
+fewest lines that confirm a family are one hit, numbered by the first of them; they give no other hits.
+
 The weights are few (the features are the n-grams of the templates that are rare in the corpus) and are a
 literal of the query, so scoring happens where the text is: no join, no shuffle. Only paragraphs that
 contain one of the features' words are scored; all others have no feature and so the class none.
@@ -173,6 +177,39 @@ def _classify(p: Column, model: LicenceModel) -> Column:
     return _let(_words(p), of_words)
 
 
+def _confirmed(family: Column) -> Column:
+    return ~family.isin(NONE, UNKNOWN)
+
+
+def _notice(lines: Column, judged: Column, sure: Column, r: Column, model: LicenceModel) -> Column:
+    """(last, c, text) of the wrapped notice that begins at line ``r.i``, or null."""
+    every = [t for own in model.templates.values() for t in own]
+    most = 2 * max((len(t) for t in every), default=0)
+    known = F.from_json(F.lit(json.dumps(every)), "array<array<string>>")
+    joined = lambda first, last: F.array_join(F.slice(lines, first + 1, last - first + 1), "\n")
+
+    def take(state: Column, x: Column) -> Column:
+        goes_on = state["open"] & (state["n"] < most) & x.rlike(r"\S") & ~F.array_contains(sure, state["last"] + 1)
+        return F.when(goes_on, F.struct((state["last"] + 1).alias("last"), (state["n"] + F.size(_words(x))).alias("n"), F.lit(True).alias("open"))).otherwise(F.struct(state["last"].alias("last"), state["n"].alias("n"), F.lit(False).alias("open")))
+
+    def of_reach(last: Column) -> Column:
+        # No part of these lines can be like a template if all of them are not.
+        like = _let(_words(joined(r["i"], last)), lambda words: F.exists(known, lambda t: F.size(F.array_intersect(t, words)) >= 0.75 * F.size(t)))
+        return F.when((last > r["i"]) & like, shortest(last))
+
+    def shortest(last: Column) -> Column:
+        parts = F.transform(F.sequence(r["i"] + 1, last), lambda j: F.struct(j.alias("last"), _classify(joined(r["i"], j), model).alias("c"), joined(r["i"], j).alias("text")))
+        return _let(F.get(F.filter(parts, lambda x: _confirmed(x["c"]["family"])), F.lit(0)), lambda x: F.when(x.isNotNull() & ~later(x), x))
+
+    def later(x: Column) -> Column:
+        """Whether a later line begins the same notice, so that this one stands before it."""
+        inner = F.filter(judged, lambda s: (s["i"] > r["i"]) & (s["i"] < x["last"]))
+        return F.exists(inner, lambda s: _confirmed(_classify(joined(s["i"], x["last"]), model)["family"]))
+
+    start = F.struct(r["i"].alias("last"), F.size(_words(r["x"])).alias("n"), F.lit(True).alias("open"))
+    return _let(F.aggregate(F.slice(lines, r["i"] + 2, most), start, take)["last"], of_reach)
+
+
 def _feature_words(model: LicenceModel) -> str:
     """A pattern for the single words among the features; each other feature holds one of them."""
     return r"(?i)(?<![0-9a-z])(?:" + "|".join(sorted(g for g in model.weights if " " not in g)) + r")(?![0-9a-z])"
@@ -180,17 +217,34 @@ def _feature_words(model: LicenceModel) -> str:
 
 def scan_licences(documents: DataFrame, model: LicenceModel, text: str = "text") -> DataFrame:
     """All columns of ``documents``, ``__n_paragraphs`` and ``__hits``: an array of (paragraph, family,
-    probability, similarity, text), paragraphs numbered from 0 among all lines."""
+    probability, similarity, text), paragraphs numbered from 0 among all lines, a wrapped notice by its first."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     lines = F.split(t, "\n")
     some = _feature_words(model)
     numbered = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda r: r["x"].rlike(some))
 
-    def hit(r: Column) -> Column:
-        return _let(_classify(r["x"], model), lambda c: F.struct(r["i"].alias("paragraph"), c["family"].alias("family"), c["probability"].alias("probability"), c["similarity"].alias("similarity"), r["x"].alias("text")))
+    kind = "array<struct<paragraph:int,family:string,probability:double,similarity:double,text:string>>"
+
+    def hit(i: Column, c: Column, x: Column) -> Column:
+        return F.array(F.struct(i.alias("paragraph"), c["family"].alias("family"), c["probability"].alias("probability"), c["similarity"].alias("similarity"), x.alias("text")))
+
+    def step(state: Column, r: Column) -> Column:
+        own, notice = hit(r["i"], r["c"], r["x"]), r["notice"]
+        whole = F.struct(F.concat(state["hits"], hit(r["i"], notice["c"], notice["text"])).alias("hits"), notice["last"].alias("last"))
+        with_own = F.struct(F.concat(state["hits"], own).alias("hits"), state["last"].alias("last"))
+        sure = _confirmed(r["c"]["family"])
+        return F.when(sure, with_own).when(r["i"] <= state["last"], state).when(notice.isNotNull(), whole).when(r["c"]["family"] != NONE, with_own).otherwise(state)
+
+    def of_judged(judged: Column) -> Column:
+        return _let(F.transform(F.filter(judged, lambda r: _confirmed(r["c"]["family"])), lambda r: r["i"]), lambda sure: of_sure(judged, sure))
+
+    def of_sure(judged: Column, sure: Column) -> Column:
+        noticed = F.transform(judged, lambda r: F.struct(r["i"].alias("i"), r["x"].alias("x"), r["c"].alias("c"), F.when(~_confirmed(r["c"]["family"]), _notice(lines, judged, sure, r, model)).alias("notice")))
+        start = F.struct(F.array().cast(kind).alias("hits"), F.lit(-1).alias("last"))
+        return F.aggregate(noticed, start, step)["hits"]
 
-    hits = F.filter(F.transform(numbered, hit), lambda h: h["family"] != NONE)
-    empty = F.array().cast("array<struct<paragraph:int,family:string,probability:double,similarity:double,text:string>>")
+    hits = _let(F.transform(numbered, lambda r: F.struct(r["i"].alias("i"), r["x"].alias("x"), _classify(r["x"], model).alias("c"))), of_judged)
+    empty = F.array().cast(kind)
     blank = F.size(F.filter(lines, lambda x: F.trim(x) == ""))
     return documents.withColumns({"__n_paragraphs": (F.size(lines) - blank).cast("long"), "__hits": F.when(t.rlike(some), hits).otherwise(empty)})
 

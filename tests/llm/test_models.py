@@ -140,6 +140,17 @@ def test_licence_features_are_counted_in_all_paragraphs(spark):
     assert not {"zeta", "foo"} & set(model.weights) and {"mozilla", "bar"} <= set(model.weights)
 
 
+def test_wrapped_notices_have_their_family(spark, tables):
+    model = licences.fit_licences(tables["documents"])
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the Software)."
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:"
+    rows = [(1, mit), (2, "Some prose.\n\n" + bsd), (3, mit.replace("\n", "\n\n")), (4, "Plain words stand here.\nThis work is licensed under the GNU Affero General\nPublic License, version 3\nand ends."), (5, "Released under the MIT License.\n" + bsd), (6, mit.replace(" ", "\n"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [(h["paragraph"], h["family"]) for h in r["__hits"] if h["family"] != "unknown"] for r in licences.scan_licences(docs, model).collect()}
+    assert got == {1: [(0, "MIT")], 2: [(2, "BSD")], 3: [], 4: [(1, "AGPL")], 5: [(0, "MIT"), (1, "BSD")], 6: got[6]}
+    assert [f for _, f in got[6]] == ["MIT"]
+
+
 def test_main_text_of_all_pages(spark, tables):
     got = {r["page_id"]: r["text"] for r in html_extract.op3_html(spark, SF).collect()}
     for r in tables["pages"].collect():
