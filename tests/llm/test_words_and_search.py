@@ -131,3 +131,40 @@ def test_top_k_is_exact(spark):
         got = topk.top_k(df, F.col("id") % 50 == 0, block_queries=block, leaf=8)
         assert {tuple(r) for r in got.collect()} == want
     assert topk.top_k(df.limit(0), F.col("id") % 50 == 0).count() == 0
+
+
+def brute_top(ids, v, k=5):
+    out = set()
+    for i in np.flatnonzero(ids % 50 == 0):
+        scored = sorted((-int(np.dot(v[i].astype(object), x)), int(j)) for j, x in zip(ids, v, strict=True) if j != ids[i])
+        out |= {(int(ids[i]), j, -s) for s, j in scored[:k]}
+    return out
+
+
+@pytest.mark.parametrize("kind, most", [("unclustered", 1.0), ("clustered", 0.4), ("equal", 0.4), ("large", 1.0)])
+def test_cover_tree(kind, most):
+    """Nodes split at any dimension, keep a cover tree's invariants, and prune where the data allow it."""
+    rng = np.random.default_rng(2)
+    base = rng.normal(0, 50, (20, 48))
+    v = {"unclustered": rng.normal(0, 50, (900, 48)), "clustered": base[rng.integers(0, 20, 900)] + rng.normal(0, 4, (900, 48)), "equal": base[np.arange(900) % 20], "large": rng.normal(0, 2.0**26, (900, 48))}[kind]
+    ids, v = np.arange(900), np.floor(v).astype(np.int64)
+    queries, rows, counts = topk.Side(ids[::50], v[::50], 4), topk.Side(ids, v, 16), []
+    got = {(int(a), int(b), int(s)) for part in topk.dual_search(queries, rows, 5, counts) for a, b, s in zip(*part, strict=True)}
+    assert got == brute_top(ids, v) and sum(counts) <= most * 18 * 900
+    tree = rows.tree
+    assert len(tree.center) > 20 and sorted(tree.order) == list(range(900))
+    for i, below in enumerate(tree.children):
+        lo, hi = tree.range[i]
+        away = np.linalg.norm((v[tree.order[lo:hi]] - v[tree.center[i]]).astype(float), axis=1)
+        assert away.max() <= tree.radius[i] * (1 + 1e-6) + 1e-3
+        assert not below or [tree.range[c] for c in below] == sorted(tree.range[c] for c in below) and sum(b - a for a, b in map(tree.range.__getitem__, below)) == hi - lo
+        if below:
+            centers = v[[tree.center[c] for c in below]].astype(float)
+            apart = np.linalg.norm(centers[:, None] - centers, axis=2)[np.triu_indices(len(below), 1)]
+            assert apart.min(initial=np.inf) * (1 + 1e-6) + 1e-3 >= max(tree.radius[c] for c in below[1:]) if len(below) > 1 else True
+
+
+def test_scores_beyond_a_long_are_refused():
+    v = np.full((3, 4), 1 << 40)
+    with pytest.raises(OverflowError):
+        list(topk.dual_search(topk.Side(np.arange(3), v, 4), topk.Side(np.arange(3), v, 4), 2))
