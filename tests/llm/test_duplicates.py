@@ -2,6 +2,8 @@
 
 import random
 
+import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,34 +47,55 @@ def corpus(seed):
     return texts + [texts[3], texts[3], "", None, "...\n!!", "de la " * 5, "x\n\nx\n  x  ", line(200) + " " + "q" * 5000]
 
 
-def edit(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row, before = [i], row
-        for j, y in enumerate(b, 1):
-            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
-    return row[-1]
+def edited(rng, line, share):
+    """The line with up to ``share`` of its words replaced, left out or added, or with as many typing errors."""
+    ws = line.split()
+    if rng.random() < 0.25:
+        at = rng.randrange(len(line))
+        return line[:at] + rng.choice("xq") + line[at + rng.randint(0, 1) :]
+    for _ in range(rng.randint(1, max(1, int(share * len(ws))))):
+        at = rng.randrange(len(ws))
+        ws[at : at + rng.randint(0, 1)] = [] if rng.random() < 0.2 and len(ws) > 2 else [rng.choice([*VOCABULARY, "of", "a"])]
+    return " ".join(ws)
+
+
+def line_links(norms):
+    """All pairs of lines with an edit similarity of 0.8, by brute force."""
+    table = pa.table({"i": range(len(norms)), "t": norms})  # noqa: F841
+    most = "CAST(floor(0.2 * greatest(length(x.t), length(y.t)) + 1e-9) AS INT)"
+    return duckdb.sql(f"SELECT x.i, y.i FROM \"table\" x JOIN \"table\" y ON x.i < y.i AND abs(length(x.t) - length(y.t)) <= {most} WHERE levenshtein(x.t, y.t) <= {most}").fetchall()
+
+
+def ids_of(spark, norms):
+    lines = spark.createDataFrame(list(enumerate(norms)), "i int, norm string")
+    return {r["i"]: r["id"] for r in lines.select("i", F.xxhash64("norm").alias("id")).collect()}
+
+
+@pytest.mark.parametrize("size, share", [(3, 0.2), (6, 0.2), (10, 0.2), (20, 0.2), (60, 0.15), (150, 0.1)])
+def test_lines_by_length_are_linked(spark, size, share):
+    """At least nine in ten pairs with an edit similarity of 0.8 are linked, and no others, at any length."""
+    rng = random.Random(size)
+    base = [" ".join(rng.choice(VOCABULARY) for _ in range(size)) for _ in range(12)]
+    norms = sorted({*base, *(edited(rng, b, share) for b in base for _ in range(3))})
+    links, ids = line_links(norms), ids_of(spark, norms)
+    docs = frame(spark, list(enumerate(norms)))
+    kept = {r["id"]: tuple(r["kept"]) for r in line_dedup.line_groups(docs).collect()}
+    group = [kept.get(ids[i], i) for i in range(len(norms))]
+    caught = sum(group[i] == group[j] for i, j in links)
+    assert len(links) > 10 and caught >= 0.9 * len(links), (caught, len(links))
+    want = roots(len(norms), links)
+    assert all(want[i] == want[j] for i in range(len(norms)) for j in range(i) if group[i] == group[j])
 
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_line_dedup_keeps_one_of_each_group(spark, seed):
+    """Against brute force over the edit similarity alone."""
     rows = list(enumerate(corpus(seed)))
     docs = frame(spark, rows)
-    lines = line_dedup.numbered_lines(docs)
-    lines = lines.withColumn("norm", F.array_join("words", " "))
-    found = lines.join(line_dedup.simhashes(docs), ["doc", "key", "pos"]).collect()
-    assert len(found) == lines.count() > 100
+    found = [r for r in line_dedup.numbered_lines(docs).collect() if r["norm"]]
     norms = sorted({r["norm"] for r in found})
-    sims = {r["norm"]: r["sim"] for r in found}
-    links = [
-        (i, j)
-        for i in range(len(norms))
-        for j in range(i + 1, len(norms))
-        if sims[norms[i]] is not None and sims[norms[j]] is not None and ((sims[norms[i]] ^ sims[norms[j]]) & (2**64 - 1)).bit_count() <= 3
-        and edit(norms[i], norms[j]) <= int(0.2 * max(len(norms[i]), len(norms[j])) + 1e-9)
-    ]
-    assert links
-    group = dict(zip(norms, roots(len(norms), links), strict=True))
+    group = dict(zip(norms, roots(len(norms), line_links(norms)), strict=True))
+    assert len(found) > 100 and len(set(group.values())) < len(norms)
     first = {}
     for r in found:
         first[group[r["norm"]]] = min(first.get(group[r["norm"]], (10**9,)), (r["doc"], r["key"], r["pos"]))
@@ -89,6 +112,27 @@ def test_line_dedup_keeps_one_of_each_group(spark, seed):
         assert (r["key"], r["id"], r["root"], r["n"]) == ("k", 1, 0.5, 2)
 
 
+def test_a_crowd_of_near_copies_is_linked(spark):
+    """Where far more lines share a block than are compared in pairs."""
+    rng = random.Random(11)
+    base = " ".join(rng.choice(VOCABULARY) for _ in range(40))
+    norms = sorted({edited(rng, edited(rng, base, 0.15), 0.15) for _ in range(300)})
+    links, ids = line_links(norms), ids_of(spark, norms)
+    kept = {r["id"]: tuple(r["kept"]) for r in line_dedup.line_groups(frame(spark, list(enumerate(norms)))).collect()}
+    group = [kept.get(ids[i], i) for i in range(len(norms))]
+    assert sum(group[i] == group[j] for i, j in links) >= 0.9 * len(links) > 1000
+
+
+def test_frequent_blocks_lose_no_link(spark, monkeypatch):
+    """With every block dealt to many tasks, and every join by a shuffle, the groups stay the same."""
+    docs = frame(spark, list(enumerate(corpus(3))))
+    want = sorted(tuple(r) for r in line_dedup.dedup_lines(docs).select("doc_id", "text", "__n_dropped").collect() if r["doc_id"] is not None)
+    for name, value in (("SAMPLE_LINES", 1000), ("SALTS", 1), ("SMALL", 0)):
+        monkeypatch.setattr(line_dedup, name, value)
+    got = sorted(tuple(r) for r in line_dedup.dedup_lines(docs).select("doc_id", "text", "__n_dropped").collect() if r["doc_id"] is not None)
+    assert got == want
+
+
 def test_line_dedup_on_odd_tables(spark):
     assert line_dedup.dedup_lines(frame(spark, [])).count() == 0
     rows = [(None, "one line of words"), (None, "one line of words"), (7, "one line of words"), (7, "one line of words\nmore")]
@@ -96,11 +140,11 @@ def test_line_dedup_on_odd_tables(spark):
     assert got == [("7", ""), ("7", "more"), ("None", "one line of words"), ("None", "one line of words")]
 
 
-def test_very_long_line_has_the_same_simhash(spark, monkeypatch):
-    docs = frame(spark, [(1, " ".join(VOCABULARY))])
-    usual = line_dedup.simhashes(docs).first()["sim"]
-    monkeypatch.setattr(line_dedup, "LANE_WORDS", 10)
-    assert line_dedup.simhashes(docs).first()["sim"] == usual and line_dedup.simhashes(docs).count() == 1
+def test_scripts_without_spaces(spark):
+    rng = random.Random(2)
+    line = "".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(200))
+    rows = list(enumerate([line, line[:50] + "xx" + line[51:], "".join(reversed(line)), "z" * 40_000, "z " * 20_000]))
+    assert [r["__n_dropped"] for r in sorted(line_dedup.dedup_lines(frame(spark, rows)).collect())] == [0, 1, 0, 0, 0]
 
 
 def shingles(text):
