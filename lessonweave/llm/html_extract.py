@@ -1,22 +1,28 @@
 """Main text of web pages by template deduction over pages of the same host.
 
-A token is a block-level tag, or the text of a whole block over its inline elements, with the path of block-level elements that it stands in. Over
-the pages of a host, tokens with equal occurrence vectors (how often they occur on which pages; compared by
-a hash that is the same in any order) form an equivalence class. Classes that are large (three tokens) and
-frequent (a tenth of the host's pages, three at least) belong to the template. On a page, a class holds if
-its tokens stand in the template's order, and classes nest by their paths. The text between template tokens
-fills slots, each known by the innermost template element around it. Slots of elements that are menus,
-headers, footers and the like, and text that is itself part of the template, go; what remains is the text
-of the host's main element: ``article`` or ``main`` where there is one, else the element that most of the
-host's pages hold most of their unlinked text in.
-
-Token counts are aggregated per host with partial sums, so a host with a third of all pages costs no task more
-than others. A template is bounded by ten pages' tokens; templates are broadcast only after a check of
-their size, else joined by a shuffle.
-
-Defined cases: null and empty html give the empty text; hosts with fewer than three pages have no template
-and only their elements' names and classes count; pages without a url make one host; repeated pages each get
-their row; broken html is read as far as it goes.
+A token is a block-level tag, or the text of a whole block over its inline elements, with the path of block-level elements that
+it stands in. Over the pages of a host, tokens with equal occurrence vectors (how often they occur on which pages; compared by
+sums of hashes, the same in any order) form an equivalence class. Classes that are large (three tokens) and frequent (a tenth
+of the host's pages, three at least) belong to the template. On a page, a class is valid if its tokens stand in the template's
+order; classes nest by their paths. What stands between the tokens of valid classes fills slots, each known by the innermost
+template element around it. Over the host's pages it is counted how much text a slot holds, how much of it is linked, and how much
+is itself part of the template. That decides which slots are read:
+
+* the host's main element is the innermost template element that holds three fifths of the text that is neither linked nor the
+  template's own (an ``article`` or ``main`` around or in it is preferred); what lies outside of it goes;
+* inside, text that is part of the template goes, unless it is four fifths of what the main element has, as on copies of one article;
+* inside, slots whose text is nearly all linked go.
+
+Names only help where statistics cannot tell: elements that are navigation, forms or asides by their very name go, and so do those
+whose class, id or role says so with all of its words; of two elements with the same text, the one named as the main one is taken. Hosts with fewer
+than three different pages have no template; there, names and a page's own text decide.
+
+Token counts are aggregated per host with partial sums, so a host with a third of all pages costs no task more than others. Equal
+pages count once. A template is bounded by ten pages' tokens; templates are broadcast only after a check of their size, else joined by a
+shuffle.
+
+Defined cases: null and empty html give the empty text; pages without a url make one host; repeated pages each get their row; broken
+html is read as far as it goes: a quote that is not closed before another tag ends with its tag.
 """
 
 from __future__ import annotations
@@ -34,64 +40,116 @@ from lessonweave.llm.common import durable, mapped
 
 SMALL_TOKENS = 100_000
 LEAST_PAGES, LEAST_SHARE, LEAST_TOKENS = 3, 0.1, 3
+#: Text of the template stands on half of the host's pages; a slot is a menu if so much of its text is linked.
+OFTEN, LINKED, MAIN_SHARE, COPIES = 0.5, 0.8, 0.6, 0.8
 
 #: Fixed values of HTML: elements without an end, whose content is no text, and that flow inside a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg select option button object math canvas audio video head".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style title textarea noscript template iframe svg select option button object canvas audio video annotation annotation-xml".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark math mfrac mi mn mo mover mrow ms msqrt mroot mstyle msub msubsup msup mtext munder "
+    "munderover q rp rt ruby s samp semantics small span strike strong sub sup time tt u var wbr".split()
+)
 CLOSED_BY_SELF = frozenset("p li dt dd tr td th option".split())
 SECTIONS = frozenset("article aside body div footer form header main nav section table ul ol dl blockquote figure html fieldset details dialog".split())
 
-#: Elements, and words of class, id or role, that hold no article text.
+#: Elements, and words of class, id or role, that hold no article text, and words that say where such a thing stands.
 APART = frozenset("nav footer aside form menu dialog".split())
 APART_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar aside menu nav navbar navigation breadcrumb "
-    "breadcrumbs footer masthead cookie cookies consent notice notices alert popup modal overlay comment comments disqus replies share sharing social "
+    "breadcrumbs footer masthead cookie cookies consent notice notices alert popup modal overlay comment comments disqus replies reply share sharing social "
     "related recommended newsletter subscribe subscription signup login search searchbox widget toolbar pagination pager skip copyright contentinfo "
     "complementary".split()
 )
+NEUTRAL_WORDS = frozenset(
+    "area article articles bar block body bottom box button buttons col column container content entry form foot global group head header heading inner item items left link "
+    "links list main media message module outer page pages panel post posts primary reader right row secondary section site slot stories story text the thread title top unit user "
+    "view wrap wrapper".split()
+)
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|$)""", re.S)
-_NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"""
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^\s"'<>/=][^\s<>/=]*+(?:\s*+=\s*+(?:"[^"]*+"(?=[\s/>])|'[^']*+'(?=[\s/>])|[^\s"'<>][^\s<>]*+)?+)?+|[\s/"'=])*+)(?:>|(?=<)|$)""",
+    re.S,
+)
+_NAMES = re.compile(r"""(?:^|[\s"'])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 
 @dataclass
 class Text:
-    value: str
-    path: int  # index into Page.paths
+    value: str  # "" marks a break between blocks
+    path: int
     linked: bool
 
 
 @dataclass
 class Page:
-    texts: list[Text] = field(default_factory=list)  # value "" marks a break between blocks
-    paths: list[tuple[str, ...]] = field(default_factory=list)
-    tokens: list[tuple[str, int]] = field(default_factory=list)  # (token, index of its path), in page order
+    """Paths are known by number; ``up`` has each one's parent, and 0 is the page itself."""
+
+    texts: list[Text] = field(default_factory=list)
+    up: list[int] = field(default_factory=lambda: [-1])
+    element: list[str] = field(default_factory=lambda: [""])
+    token: list[int] = field(default_factory=lambda: [0])  # a hash of the whole path
+    apart: list[bool] = field(default_factory=lambda: [False])
+    main: list[bool] = field(default_factory=lambda: [False])  # in an article or main element
+    opened: list[int] = field(default_factory=list)  # the path of each tag, in page order
+
+
+def _hash(*parts: object) -> int:
+    return int.from_bytes(hashlib.blake2b("\x00".join(map(str, parts)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def _says_apart(values: list[str]) -> bool:
+    """Whether a class, id or role says with all of its words that an element is set apart."""
+    for value in values:
+        words = [w for w in re.split(r"[^a-z]+", value.lower()) if w]
+        if any(w in APART_WORDS for w in words) and all(w in APART_WORDS or w in NEUTRAL_WORDS for w in words):
+            return True
+    return False
 
 
 def parse(html: str) -> Page:
     page = Page()
-    index: dict[tuple[str, ...], int] = {}
+    known: dict[tuple[int, str], int] = {}
     stack: list[str] = []
-    names: list[str] = []
+    paths = [0]
     links = 0
+    low = None
 
-    def here() -> int:
-        key = tuple(names)
-        if key not in index:
-            index[key] = len(page.paths)
-            page.paths.append(key)
-        return index[key]
+    def open_element(name: str, attributes: str) -> None:
+        values = [v for own in _NAMES.findall(attributes) for v in "".join(own).split()]
+        words = sorted({w for v in values for w in re.split(r"[^a-z]+", v.lower()) if w})
+        element, parent = name + "".join("." + w for w in words), paths[-1]
+        at = known.get((parent, element))
+        if at is None:
+            at = known[parent, element] = len(page.up)
+            main = name in ("article", "main") or "main" in values
+            inside = page.main[parent]
+            plain = name in ("html", "body", "article", "main")
+            apart = name in APART or (name == "header" and not inside) or (not plain and _says_apart(values))
+            # A class of what is around an article does not set it apart; an element's own name does.
+            above = page.apart[parent] if inside or not main else any(page.element[p].split(".")[0] in APART for p in _ancestors(page, parent))
+            page.up.append(parent)
+            page.element.append(element)
+            page.token.append(_hash(page.token[parent], element))
+            page.apart.append(above or apart)
+            page.main.append(inside or main)
+        stack.append(name)
+        paths.append(at)
+        page.opened.append(at)
 
     def close(to: int) -> None:
-        del stack[to:], names[to:]
+        del stack[to:], paths[to + 1 :]
 
     def text(value: str) -> None:
         if value:
-            page.texts.append(Text(value, here(), links > 0))
+            page.texts.append(Text(value, paths[-1], links > 0))
+
+    def pause() -> None:
+        if page.texts and page.texts[-1].value:
+            page.texts.append(Text("", paths[-1], False))
 
     at, n = 0, len(html)
-    low = None
     while at < n:
         m = _TOKEN.search(html, at)
         if m is None:
@@ -99,101 +157,75 @@ def parse(html: str) -> Page:
             break
         text(html[at : m.start()])
         at = max(m.end(), m.start() + 1)
-        name = m[2]
-        if name is None:
+        if m[2] is None:
             continue
-        name = name.lower()
+        name = m[2].lower()
         if m[1]:
             if name == "a":
                 links = max(0, links - 1)
             elif name not in INLINE:
-                page.texts.append(Text("", here(), False))
+                pause()
                 if name in stack:
                     close(len(stack) - 1 - stack[::-1].index(name))
             continue
-        attributes = m[3] or ""
-        if name in RAW and name != "head":
-            low = low or html.lower()
-            end = low.find("</" + name, at)
-            if not attributes.rstrip().endswith("/"):
+        if name in RAW:
+            if not m[3].rstrip().endswith("/"):
+                low = low or html.lower()
+                end = low.find("</" + name, at)
                 at = n if end < 0 else end
-            page.texts.append(Text("", here(), False))
+            pause()
             continue
         if name == "a":
             links += 1
         if name in INLINE:
             continue
-        page.texts.append(Text("", here(), False))
+        pause()
         if name in VOID or name == "head":
             continue
         # A new paragraph or section ends an open paragraph; an item ends the item before it.
         for k in range(len(stack) - 1, -1, -1):
             if stack[k] in SECTIONS and not (name in SECTIONS and stack[k] == "p"):
                 break
-            if stack[k] == name and name in CLOSED_BY_SELF or stack[k] == "p":
+            if (stack[k] == name and name in CLOSED_BY_SELF) or stack[k] == "p":
                 close(k)
                 break
-        words = sorted({w for a in _NAMES.findall(attributes) for w in re.split(r"[^a-z]+", " ".join(a).lower()) if w})
-        stack.append(name)
-        names.append(name + "".join("." + w for w in words))
-        page.tokens.append((names[-1], here()))
+        open_element(name, m[3])
     return page
 
 
-def _clean(value: str) -> str:
-    return " ".join(html_lib.unescape(value).split())
+def _ancestors(page: Page, path: int):
+    while path > 0:
+        yield path
+        path = page.up[path]
 
 
-def _hash(*parts: str) -> int:
-    return int.from_bytes(hashlib.blake2b("\x00".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+def _clean(value: str) -> str:
+    return " ".join(html_lib.unescape(value).split())
 
 
-def _whole_blocks(page: Page) -> list[tuple[int, int, int]]:
-    """(start, end, token) of the pieces of text that make up each block; inline markup parts a block into
-    several pieces."""
+def _whole_blocks(page: Page) -> list[tuple[int, int, str]]:
+    """(start, end, text) of the pieces that make up each block; inline markup parts a block into several."""
     out, n, k = [], len(page.texts), 0
     while k < n:
         start = k
         while k < n and page.texts[k].value:
             k += 1
         if v := _clean("".join(t.value for t in page.texts[start:k])):
-            out.append((start, k, _hash("text", ">".join(page.paths[page.texts[start].path]), v)))
+            out.append((start, k, v))
         k += 1
     return out
 
 
-def _is_apart(path: tuple[str, ...]) -> bool:
-    inside = False
-    for element in path:
-        name, *words = element.split(".")
-        if name in APART or (name == "header" and not inside) or not APART_WORDS.isdisjoint(words) and name not in ("html", "body", "article", "main"):
-            return True
-        inside |= name in ("article", "main")
-    return False
-
-
-def _main_of(path: tuple[str, ...]) -> tuple[str, ...] | None:
-    """The path up to its outermost article or main element."""
-    for k, element in enumerate(path):
-        name, *words = element.split(".")
-        if name in ("article", "main") or "main" in words:
-            return path[: k + 1]
-    return None
-
-
-def _densest(page: Page) -> tuple[str, ...]:
+def _densest(page: Page) -> int:
     """The innermost element with three fifths of the unlinked text that isn't set apart."""
-    size: dict[tuple[str, ...], int] = {}
-    total = 0
+    own = [0] * len(page.up)
     for t in page.texts:
-        path = page.paths[t.path]
-        if t.value and not t.linked and not _is_apart(path):
-            n = len(t.value.strip())
-            total += n
-            for k in range(len(path) + 1):
-                if k == 0 or path[k - 1].split(".")[0] in SECTIONS:
-                    size[path[:k]] = size.get(path[:k], 0) + n
-    return max((p for p, n in size.items() if 5 * n >= 3 * total), key=len, default=())
+        if t.value and not t.linked and not page.apart[t.path]:
+            own[t.path] += len(t.value.strip())
+    for p in range(len(page.up) - 1, 0, -1):
+        own[page.up[p]] += own[p]
+    # Numbers grow inwards, and at most one element of those side by side has so much.
+    return max((p for p in range(len(own)) if own[0] and own[p] >= MAIN_SHARE * own[0] and (p == 0 or page.element[p].split(".")[0] in SECTIONS)), default=0)
 
 
 def host_of(url: str | None) -> str:
@@ -202,144 +234,204 @@ def host_of(url: str | None) -> str:
 
 
 #: Kinds of counted tokens.
-TAG, TEXT, PAGE, MAIN = 0, 1, 2, 3
+TAG, TEXT, PAGE = 0, 1, 2
 
 
 def _page_tokens(page: Page) -> dict[tuple[int, int], list]:
-    """(kind, token) to [count, first position, path]."""
-    out: dict[tuple[int, int], list] = {(PAGE, 0): [1, 0, ""]}
-
-    def add(kind: int, token: int, position: int, path: str) -> None:
-        own = out.setdefault((kind, token), [0, position, path])
+    """(kind, token) to [count, first position, parent's token, named as main, set apart, unlinked and linked characters inside]."""
+    out: dict[tuple[int, int], list] = {(PAGE, 0): [1, 0, 0, False, False, 0, 0]}
+    inside = [[0, 0] for _ in page.up]
+    for start, end, v in _whole_blocks(page):
+        path = page.texts[start].path
+        own = out.setdefault((TEXT, _hash("text", page.token[path], v)), [0, start, page.token[path], False, page.apart[path], 0, 0])
         own[0] += 1
-
-    for k, (name, path) in enumerate(page.tokens):
-        joined = ">".join(page.paths[path])
-        add(TAG, _hash("tag", joined, name), k, joined)
-    for k, _, token in _whole_blocks(page):
-        add(TEXT, token, k, ">".join(page.paths[page.texts[k].path]))
-    if not any(_main_of(p) for p in page.paths):
-        path = ">".join(_densest(page))
-        add(MAIN, _hash("main", path), 0, path)
+        for t in page.texts[start:end]:
+            size = len(t.value.strip())
+            own[5 + t.linked] += size
+            inside[path][t.linked] += size
+    for p in range(len(page.up) - 1, 0, -1):  # a parent has the smaller number
+        inside[page.up[p]][0] += inside[p][0]
+        inside[page.up[p]][1] += inside[p][1]
+    for k, p in enumerate(page.opened):
+        named = page.element[p].split(".")[0] in ("article", "main")
+        out.setdefault((TAG, page.token[p]), [0, k, page.token[page.up[p]], named, page.apart[p], *inside[p]])[0] += 1
     return out
 
 
+_COUNTED = "host string, kind int, token bigint, page bigint, n int, position int, parent bigint, named boolean, apart boolean, plain bigint, linked bigint"
+
+
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """(host, kind, token, path, page, count, position) of each token of each page."""
-    schema = "host string, kind int, token bigint, path string, page bigint, n int, position int"
+    """The tokens of each page, with the key of the page."""
+    names, kinds = zip(*(x.split() for x in _COUNTED.split(", ")), strict=True)
+    types = [{"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_()}[k] for k in kinds]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows: list[tuple] = []
         for url, html, key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             host = host_of(url)
-            rows += [(host, kind, token, path, key, n, position) for (kind, token), (n, position, path) in _page_tokens(parse(html or "")).items()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["host", "kind", "token", "path", "page", "n", "position"])
+            rows += [(host, kind, token, key, *counted) for (kind, token), counted in _page_tokens(parse(html or "")).items()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=list(names))
+
+    return mapped(pages.select("url", "html", "key"), run, _COUNTED)
 
-    return mapped(pages.select("url", "html", F.xxhash64("page_id", "url", "html")), run, schema)
+
+_HOST = r"^(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
+
+
+def _host(url: str):
+    return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), _HOST, 1))
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """One row per host with enough pages: its template's tokens, as (class, order, kind, token, path), and
-    its main element's path, if no page names one."""
-    found = page_tokens(pages).groupBy("host", "kind", "token").agg(
+    """One row per host with enough pages: its template's tokens."""
+    keyed = pages.select("url", "html", F.xxhash64(_host("url"), "html").alias("key"))
+    copied = durable(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("key"))
+    small = copied.count() <= SMALL_TOKENS
+    copied = F.broadcast(copied) if small else copied
+    # Only pages with copies need their tokens compared.
+    once = page_tokens(keyed.join(copied, "key", "left_anti"))
+    again = page_tokens(keyed.join(copied, "key", "left_semi")).dropDuplicates(["host", "kind", "token", "page"])
+    vector = F.xxhash64("page", "n")
+    found = once.unionByName(again).groupBy("host", "kind", "token").agg(
         F.count(F.lit(1)).alias("support"),
-        F.bit_xor(F.xxhash64("page", "n")).alias("vector"),
+        F.sum(F.shiftrightunsigned(vector, 32)).alias("high"),
+        F.sum(vector.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"),
         F.avg("position").alias("place"),
-        F.min("path").alias("path"),
+        F.min("parent").alias("parent"),
+        F.max("named").alias("named"),
+        F.max("apart").alias("apart"),
+        F.sum("plain").alias("plain"),
+        F.sum("linked").alias("linked"),
     )
     found = durable(found)
-    sizes = found.where(F.col("kind") == PAGE).select("host", F.col("support").alias("pages"))
-    often = found.where(F.col("kind").isin(TAG, TEXT)).join(sizes, "host")
+    sizes = found.where(F.col("kind") == PAGE).select("host", F.col("support").alias("pages")).where(F.col("pages") >= LEAST_PAGES)
+    often = found.where(F.col("kind") != PAGE).join(sizes, "host")
     often = often.where((F.col("support") >= LEAST_PAGES) & (F.col("support") >= LEAST_SHARE * F.col("pages")))
-    token = F.struct("vector", "place", "kind", "token", "path", (F.col("support") / F.col("pages")).alias("share"))
+    often = often.withColumns({"share": F.col("support") / F.col("pages"), "vector": F.xxhash64("support", "high", "low")})
+    token = F.struct("vector", "place", "kind", "token", "parent", "share", "named", "apart", "plain", "linked")
     classes = often.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("size"), F.collect_list(token).alias("tokens")).where(F.col("size") >= LEAST_TOKENS)
-    templates = classes.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
-    mains = found.where(F.col("kind") == MAIN).groupBy("host").agg(F.max_by("path", F.struct("support", "path")).alias("main"))
-    return sizes.where(F.col("pages") >= LEAST_PAGES).join(templates, "host", "left").join(mains, "host", "left").select("host", "tokens", "main")
+    return classes.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
 
 
 @dataclass
 class Template:
-    tags: dict[int, tuple[int, float]]  # token to (class, order)
-    texts: set[int]
-    main: tuple[str, ...] | None
-
-
-def read_template(tokens: list[dict] | None, main: str | None) -> Template:
-    tokens = tokens or []
-    tags = {t["token"]: (t["vector"], t["place"]) for t in tokens if t["kind"] == TAG}
-    rank = {t: r for r, t in enumerate(sorted(tags, key=lambda t: (tags[t][1], t)))}
-    texts = {t["token"] for t in tokens if t["kind"] == TEXT and t["share"] >= 0.95}
-    return Template({t: (c, rank[t]) for t, (c, _) in tags.items()}, texts, tuple(main.split(">")) if main else None)
-
-
-def held_elements(page: Page, template: Template) -> set[tuple[str, ...]]:
-    """Paths of the elements on the page that belong to valid classes: a class is valid if the first
-    occurrences of its tokens stand in the template's order."""
-    first: dict[int, tuple[int, tuple[str, ...]]] = {}
-    for k, (name, path) in enumerate(page.tokens):
-        token = _hash("tag", ">".join(page.paths[path]), name)
-        if token in template.tags and token not in first:
-            first[token] = (k, page.paths[path])
+    tags: dict[int, tuple[int, int]]  # token to (class, order)
+    texts: set[int]  # of blocks that are the template's own
+    menus: set[int]  # tokens of slots whose text is linked
+    main: int | None  # the main element's token
+
+
+def read_template(tokens: list[dict] | None) -> Template | None:
+    """Decide what each slot of the template is."""
+    if not tokens:
+        return None
+    tags = {t["token"]: t for t in tokens if t["kind"] == TAG}
+    rank = {t: r for r, t in enumerate(sorted(tags, key=lambda t: (tags[t]["place"], t)))}
+    texts = {t["token"]: t for t in tokens if t["kind"] == TEXT and t["share"] >= OFTEN}
+    # Text of each slot with all in it: unlinked, linked, unlinked and part of the template.
+    inside = {t: [own["plain"], own["linked"], 0] for t, own in tags.items()}
+    for own in texts.values():
+        for t in _chain(tags, own["parent"]):
+            inside[t][2] += own["plain"]
+    menus = {t for t, (plain, linked, _) in inside.items() if linked > 0 and linked >= LINKED * (plain + linked)}
+    # Where nearly all text is the template's own, the pages are copies of one article.
+    plain, _, fixed = max(inside.values(), default=(0, 0, 0))
+    copies = fixed > COPIES * plain
+    weight = {t: plain - fixed * (not copies) for t, (plain, _, fixed) in inside.items() if not tags[t]["apart"]}
+    most = max(weight.values(), default=0)
+    main = None
+    if most > 0:
+        rich = [t for t in weight if weight[t] >= MAIN_SHARE * most]
+        deep = max(rich, key=lambda t: (_depth(tags, t), weight[t], t))
+        around = [t for t in _chain(tags, deep) if tags[t]["named"]]
+        below = [t for t in weight if tags[t]["named"] and weight[t] >= MAIN_SHARE * weight[deep] and deep in _chain(tags, t)]
+        main = around[-1] if around else min(below, key=lambda t: _depth(tags, t)) if below else deep
+    fixed = set(texts)
+    if main is not None and inside[main][2] > COPIES * inside[main][0]:
+        fixed = {t for t in texts if main not in _chain(tags, texts[t]["parent"])}
+    return Template({t: (own["vector"], rank[t]) for t, own in tags.items()}, fixed, menus, main)
+
+
+def _chain(tags: dict[int, dict], token: int) -> list[int]:
+    """The template elements from a token outwards."""
+    out = []
+    while token in tags and token not in out:
+        out.append(token)
+        token = tags[token]["parent"]
+    return out
+
+
+def _depth(tags: dict[int, dict], token: int) -> int:
+    own = tags[token]
+    if "depth" not in own:
+        for t in reversed(_chain(tags, token)):
+            tags[t]["depth"] = tags[tags[t]["parent"]]["depth"] + 1 if tags[t]["parent"] in tags else 0
+    return own["depth"]
+
+
+def valid_elements(page: Page, template: Template) -> set[int]:
+    """Tokens of the page's elements that belong to valid classes: those whose tokens' first occurrences stand in the template's order."""
+    first: dict[int, int] = {}
+    for k, p in enumerate(page.opened):
+        if page.token[p] in template.tags:
+            first.setdefault(page.token[p], k)
     by_class: dict[int, list[tuple[int, int]]] = {}
-    for token, (k, _) in first.items():
-        by_class.setdefault(template.tags[token][0], []).append((k, int(template.tags[token][1])))
+    for token, k in first.items():
+        own, rank = template.tags[token]
+        by_class.setdefault(own, []).append((k, rank))
     valid = {c for c, own in by_class.items() if (order := [r for _, r in sorted(own)]) == sorted(order)}
-    return {path for token, (_, path) in first.items() if template.tags[token][0] in valid}
+    return {t for t in first if template.tags[t][0] in valid}
 
 
 def main_text(html: str, template: Template | None) -> str:
     page = parse(html)
-    held = held_elements(page, template) if template else set()
-    main_paths = {i for i, p in enumerate(page.paths) if _main_of(p)}
-    main: tuple[str, ...] = ()
-    if not main_paths:
-        main = template.main if template and template.main in page.paths else _densest(page)
-    use = []
-    for i, path in enumerate(page.paths):
-        # The slot is known by the innermost template element around it; what stands in between is content.
-        slot = next((path[:k] for k in range(len(path), 0, -1) if path[:k] in held), path)
-        inside = i in main_paths if main_paths else path[: len(main)] == main
-        use.append(inside and not _is_apart(slot) and not _is_apart(path))
+    n = len(page.up)
+    valid = valid_elements(page, template) if template else set()
+    # Whether what a path holds is read: it lies in the main element, and in no slot that goes.
+    inside, menu = [False] * n, [False] * n
+    if template and template.main in valid:
+        mains = {p for p in range(n) if page.token[p] == template.main}
+    elif any(page.main):
+        mains = {p for p in range(n) if page.main[p]}
+    else:
+        mains = {_densest(page)}
+    for p in range(n):
+        parent = page.up[p]
+        inside[p] = p in mains or (parent >= 0 and inside[parent])
+        menu[p] = (parent >= 0 and menu[parent]) or bool(template and page.token[p] in valid and page.token[p] in template.menus)
+    gone = set()
+    if template and template.texts:
+        gone = {k for start, end, v in _whole_blocks(page) if _hash("text", page.token[page.texts[start].path], v) in template.texts for k in range(start, end)}
     out = []
-    blocks = _whole_blocks(page) if template and template.texts and not main_paths else []
-    repeated = {k for start, end, token in blocks if token in template.texts for k in range(start, end)}
     for k, t in enumerate(page.texts):
-        if not t.value:
-            out.append(" ")
-        elif use[t.path]:
-            # Template text goes where it stands outside of articles; an article's own words never do.
-            if k in repeated:
-                out.append(" ")
-            else:
-                out.append(html_lib.unescape(t.value))
+        read = t.value and inside[t.path] and not page.apart[t.path] and not menu[t.path] and k not in gone
+        out.append(html_lib.unescape(t.value) if read else " ")
     return " ".join("".join(out).split())
 
 
 def extract_text(pages: DataFrame, html: str = "html", url: str = "url", name: str = "__text") -> DataFrame:
     """All columns of ``pages`` and the main text."""
-    templates = durable(host_templates(pages.select(F.col("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))))
-    host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    templates = durable(host_templates(pages.select(F.col(url).alias("url"), F.col(html).alias("html"))))
     names = pages.columns
     n = len(names)
     schema = pages.withColumn(name, F.lit("")).schema
     size = templates.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0]
-    brief = F.transform("tokens", lambda t: F.struct(t["vector"].alias("vector"), t["place"].alias("place"), t["kind"].alias("kind"), t["token"].alias("token"), t["share"].alias("share")))
-    brief = templates.select(F.col("host").alias("__host"), brief.alias("__tokens"), F.col("main").alias("__main"))
+    brief = templates.select(F.col("host").alias("__host"), F.col("tokens").alias("__tokens"))
     if size <= SMALL_TOKENS:
-        table = {r[0]: read_template([t.asDict() for t in r[1] or ()], r[2]) for r in brief.toLocalIterator()}
+        table = {r[0]: read_template([t.asDict() for t in r[1] or ()]) for r in brief.toLocalIterator()}
         shared = pages.sparkSession.sparkContext.broadcast(table)
-        found = pages.withColumn("__host", host)
+        found = pages.withColumn("__host", _host(url))
     else:
         shared = None
-        found = pages.withColumn("__at", host).join(brief, F.col("__at") == F.col("__host"), "left").drop("__at")
+        found = pages.withColumn("__at", _host(url)).join(brief, F.col("__at") == F.col("__host"), "left").drop("__at")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known: dict = shared.value if shared else {}
         texts = []
         for r, (value, own) in enumerate(zip(batch.column(names.index(html)).to_pylist(), batch.column(n).to_pylist(), strict=True)):
             if not shared and own is not None and own not in known:  # once per batch and host
-                known[own] = read_template(batch.column(n + 1)[r].as_py(), batch.column(n + 2)[r].as_py())
+                known[own] = read_template(batch.column(n + 1)[r].as_py())
             texts.append(main_text(value or "", known.get(own)))
         return pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(texts, pa.string())], names=[*names, name])
 

@@ -180,6 +180,49 @@ def test_long_and_linked_template_text_goes(spark):
     assert got == {k: f"Title {k} Own words of page {k} {'and more ' * 40}".strip() for k in range(6)}
 
 
+def pages_of(spark, *pages):
+    return spark.createDataFrame([(k, f"http://h.example/{k}", p) for k, p in enumerate(pages)], "page_id long, url string, html string")
+
+
+def texts_of(df):
+    return [r["__text"] for r in sorted(html_extract.extract_text(df).collect(), key=lambda r: r["page_id"])]
+
+
+def test_the_template_decides_without_names(spark, monkeypatch):
+    """No name tells the menu, the notice, the related links or the legal text apart, in an article or out of it."""
+    links = lambda k: "".join(f"<li><a href=/{k}{i}>Read {k} {i} next</a></li>" for i in range(5))
+    notice = "<div><p>We use <b>small</b> files on this site. <a href=/x>More</a></p></div>"
+    own = lambda k: f"<h1>Title {k}</h1><p>Own text <a href=q>of</a> page {k}: {'more words ' * 30}</p><p>End {k}.</p>"
+    page = lambda k: f"<html><body><div><span>Site of words</span></div><article>{notice}{own(k)}<ul>{links(k)}</ul><div><i>All rights are kept.</i></div></article><div><p>Aside {k} of it</p></div></body></html>"
+    want = [f"Title {k} Own text of page {k}: {'more words ' * 30}End {k}." for k in range(8)]
+    assert texts_of(pages_of(spark, *map(page, range(8)))) == want
+    assert texts_of(pages_of(spark, *map(page, range(8)), *map(page, range(8)))) == want * 2  # repeated pages
+    with_names = texts_of(pages_of(spark, *map(page, range(8))))
+    monkeypatch.setattr(html_extract, "LEAST_PAGES", 10**6)
+    assert texts_of(pages_of(spark, *map(page, range(8)))) != with_names  # what goes, goes by the template
+    assert texts_of(pages_of(spark, *[page(1)] * 5)) == texts_of(pages_of(spark, page(1))) * 5
+
+
+def test_copies_of_one_article_keep_their_text(spark):
+    page = lambda k: f"<body><p>Menu</p><article><p>The same long text stands on all of these pages, word for word.</p></article><p>{k}</p></body>"
+    assert set(texts_of(pages_of(spark, *map(page, range(6))))) == {"The same long text stands on all of these pages, word for word."}
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<article><p data-x=it's>Hello one</p><p>World don't go</p></article>", "Hello one World don't go"),
+    ('<article><p title="a>Hello</p><p class="x">there</p></article>', "Hello there"),
+    ('<article><p>One</p><div class="related-work"><p>Two</p></div><div class="related-posts">No</div></article>', "One Two"),
+    ("<div class=search><main><p>Kept</p></main></div>", "Kept"),
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p><button>Buy</button></article>", "Let x=1 be."),
+    ("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</article>", "deep"),
+    ("<article><p>" + "word " * 200_000 + "</p></article>", ("word " * 200_000).strip()),
+    ('<p a="1>2">x &lt; y', "x < y"),
+    ("<aside><article>Teaser</article></aside><article>Main</article>", "Main"),
+])
+def test_odd_html(html, want):
+    assert html_extract.main_text(html, None) == want
+
+
 def test_pipeline_stages(spark, tables, tmp_path):
     docs = tables["documents"]
     kept = {}
