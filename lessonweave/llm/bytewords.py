@@ -20,7 +20,9 @@ _IS_WORD_TABLE = _IS_WORD.astype(np.uint8).tobytes()
 #: An odd base has an inverse modulo 2**64, which makes a hash independent of where a word stands.
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 18
+#: Powers are kept for a segment and a word that runs on beyond it.
+_KEPT = _SEGMENT + 4096
 _powers: list[np.ndarray] = []
 
 
@@ -57,15 +59,18 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
 
 
 def _power_tables(n: int) -> list[np.ndarray]:
-    if not _powers or len(_powers[0]) <= n:
-        size = max(_SEGMENT, n) + 1
-        with np.errstate(over="ignore"):
-            for base in (_BASE, _INVERSE):
-                steps = np.full(size, base, np.uint64)
-                steps[0] = 1
-                _powers.append(np.multiply.accumulate(steps))
-        del _powers[:-2]
-    return _powers
+    """Powers of the base and of its inverse up to n; those for a segment are kept, longer ones are not."""
+    if n <= _KEPT and _powers:
+        return _powers
+    found = []
+    with np.errstate(over="ignore"):
+        for base in (_BASE, _INVERSE):
+            steps = np.full(max(_KEPT, n) + 1, base, np.uint64)
+            steps[0] = 1
+            found.append(np.multiply.accumulate(steps))
+    if n <= _KEPT:
+        _powers[:] = found
+    return found
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import re
 import tempfile
 
 import numpy as np
@@ -17,16 +20,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage with a checkpoint in the cluster's shared folder.
 
-    ``spark.checkpoint.dir`` names that folder. Only where it is unset, as in tests on one machine, a
-    temporary folder is chosen.
+    ``spark.checkpoint.dir`` names that folder. Where it is unset and the session runs in one process, a temporary
+    folder is chosen; on a cluster, where executors would not share it, that is an error.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint(eager=True)
 
 
+#: Rows that Spark hands to Python at a time, where the session has Spark's own default of 10,000: texts may be long.
+BATCH_ROWS = "1000"
+
+
+def in_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``df.mapInArrow`` in batches of bounded size; a task gives back the memory that it took, as workers are kept."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, BATCH_ROWS)
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # glibc only
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return df.mapInArrow(run, schema)
+
+
 def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
     """``fn`` turns one Arrow batch into another; rows keep their partition, nothing is shuffled."""
 
@@ -35,7 +62,7 @@ def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
             if batch.num_rows:
                 yield fn(batch)
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 def text_or_empty(name: str = "text") -> Column:

@@ -167,7 +167,7 @@ def _search_block(df: DataFrame, items: list[tuple], text: str, window: int, las
         data, offsets = flat_text(batch.column(names.index(text)))
         before, items_before = batch.column(names.index("__bits")), batch.column(names.index("__items"))
         n_words, n_hit, found, bits = [], [], [], []
-        for lo, hi in spans_of_rows(offsets, 4 << 20):
+        for lo, hi in spans_of_rows(offsets, 1 << 20):
             w, hit, pairs = find_hits(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], patterns)
             counts = w.counts()
             ends = np.cumsum(counts)

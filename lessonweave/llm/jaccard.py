@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lessonweave.llm.bytewords import find_words, hash_windows, hash_words, mix
-from lessonweave.llm.common import durable, flat_text, mapped, spans_of_rows
+from lessonweave.llm.common import durable, flat_text, in_arrow, mapped, spans_of_rows
 from lessonweave.llm.components import connected_components
 
 SHINGLE, THRESHOLD, RECALL = 5, 0.8, 0.9999
@@ -194,7 +194,7 @@ def _compare(rows: DataFrame, threshold: float) -> DataFrame:
         if out:
             yield _links(out)
 
-    return rows.mapInArrow(run, "id bigint, links bigint, peer bigint")
+    return in_arrow(rows, run, "id bigint, links bigint, peer bigint")
 
 
 def _links(out: list[tuple]) -> pa.RecordBatch:

@@ -28,39 +28,35 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lessonweave.llm.common import in_arrow
+
 WINDOW = 1024
 END_ID = 0
 #: A block closes at so many documents or ids.
 BLOCK_DOCS, BLOCK_IDS = 8192, 4 << 20
 
-_encoders: dict = {}
-
-
 def encoder(json_path: str, ranks_path: str | None, pattern: str | None):
-    """A function from a text to its ids."""
-    key = (json_path, ranks_path)
-    if key not in _encoders:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        held: list = []
+    """A function from a text to its ids. It lives as long as the task that made it, as workers outlive tasks."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    held: list = []
 
-        def full(text: str) -> list[int]:
-            if not held:  # takes much memory, and few texts need it where there are ranks
-                from tokenizers import Tokenizer
+    def full(text: str) -> list[int]:
+        if not held:  # takes much memory, and few texts need it where there are ranks
+            from tokenizers import Tokenizer
 
-                held.append(Tokenizer.from_file(json_path))
-            return held[0].encode(text, add_special_tokens=False).ids
+            held.append(Tokenizer.from_file(json_path))
+        return held[0].encode(text, add_special_tokens=False).ids
 
-        _encoders[key] = full
-        if ranks_path:
-            import tiktoken
+    if not ranks_path:
+        return full
+    import tiktoken
 
-            with open(ranks_path, "rb") as f:
-                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            with open(json_path, encoding="utf-8") as f:
-                special = [t["content"] for t in json.load(f)["added_tokens"]]
-            fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-            _encoders[key] = lambda text: full(text) if any(s in text for s in special) else fast(text)
-    return _encoders[key]
+    with open(ranks_path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    with open(json_path, encoding="utf-8") as f:
+        special = [t["content"] for t in json.load(f)["added_tokens"]]
+    fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return lambda text: full(text) if any(s in text for s in special) else fast(text)
 
 
 class OpenWindows:
@@ -179,7 +175,7 @@ def pack(documents: DataFrame, window: int = WINDOW, end_id: int = END_ID, json_
             yield block()
 
     assert np.dtype("u4").itemsize == array("I").itemsize
-    return documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return in_arrow(documents.select("doc_id", F.col("text").cast("string").alias("text")), run, schema)
 
 
 def op2_packing(spark, sf_dir: str) -> DataFrame:

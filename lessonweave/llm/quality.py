@@ -8,7 +8,8 @@ The network is trained on the driver on a bounded sample of labelled rows (``sam
 smallest hashes of their ids, texts of up to ``sample_chars`` characters); scoring covers every whole text
 where it is, without a shuffle.
 
-Defined cases: null and empty texts are one chunk of padding and get its score; repeated rows get equal
+Defined cases: a row without a doc_id is not held out, and not learned from, as no label is its own; where a
+document has both labels, the larger counts; null and empty texts are one chunk of padding and get its score; repeated rows get equal
 scores; labels without a document, and null labels, are not learned from; without both labels in the
 sample, every score is the share of label 1 in it (0.5 if there is no label at all).
 """
@@ -46,16 +47,25 @@ class Network:
 
 def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Overlapping chunks of all rows, zero-padded, and the row of each."""
+    row, at, left = _places(offsets)
+    return _cut(data, at, left), row
+
+
+def _places(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first byte and size of each chunk."""
     size = np.diff(offsets)
     n = np.maximum(1, -(-(size - WIDTH) // STEP))
     row = np.repeat(np.arange(len(size)), n)
     at = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)) * STEP
-    left = np.minimum(size[row] - at, CHUNK)
-    x = np.zeros((len(row), CHUNK), np.uint8)
-    if len(data):
-        index = np.minimum((offsets[:-1][row] + at)[:, None] + np.arange(CHUNK), len(data) - 1)
-        np.copyto(x, data[index], where=np.arange(CHUNK) < left[:, None])
-    return x, row
+    return row, offsets[:-1][row] + at, np.minimum(size[row] - at, CHUNK)
+
+
+def _cut(data: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+    x = np.zeros((len(at), CHUNK), np.uint8)
+    for lo in range(0, len(at) if len(data) else 0, 1024):  # the indices take more room than the chunks
+        index = np.minimum(at[lo : lo + 1024, None] + np.arange(CHUNK), len(data) - 1)
+        np.copyto(x[lo : lo + 1024], data[index], where=np.arange(CHUNK) < left[lo : lo + 1024, None])
+    return x
 
 
 def _columns(net: Network, x: np.ndarray) -> np.ndarray:
@@ -74,8 +84,8 @@ def pooled(net: Network, x: np.ndarray) -> np.ndarray:
 
 
 def score_rows(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    x, row = chunks(data, offsets)
-    p = pooled(net, x)
+    row, at, left = _places(offsets)
+    p = np.concatenate([pooled(net, _cut(data, at[lo : lo + 4096], left[lo : lo + 4096])) for lo in range(0, len(at), 4096)])
     first = np.flatnonzero(np.diff(row, prepend=-1))
     mean = np.add.reduceat(p, first, axis=0) / np.diff(np.append(first, len(row)))[:, None]
     most = np.maximum.reduceat(p, first, axis=0)
@@ -103,11 +113,7 @@ def train(texts: list[str], labels: list[int], steps: int = 500, batch: int = 48
         return net
     net.offset[0] = np.log(share / (1 - share))
     data, offsets = flat_text(pa.array(texts))
-    parts = []
-    for lo, hi in spans_of_rows(offsets, 1 << 20):  # in parts, as the indices take more room than the chunks
-        own, row = chunks(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-        parts.append((own, row + lo))
-    x, row = np.concatenate([p for p, _ in parts]), np.concatenate([r for _, r in parts])
+    x, row = chunks(data, offsets)
     first = np.searchsorted(row, np.arange(len(texts) + 1))
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parts()]
     order = np.empty(0, np.int64)
@@ -154,7 +160,7 @@ def _gradients(net: Network, x: np.ndarray, doc: np.ndarray, n: np.ndarray, y: n
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def fit_quality(documents: DataFrame, labels: DataFrame, sample_rows: int = 4000, sample_chars: int = 65536) -> Network:
