@@ -65,11 +65,16 @@ def match_library(tasks: DataFrame, library: DataFrame, cues: DataFrame) -> Data
     """The curated answer of each task (lesson, title, body): entries of the lesson whose title is the task's
     or starts with it and ``·``; among several the first whose cue word is in the body, then the first
     with the word "example", then the first by ``ord``."""
-    hit = tasks.join(library, "lesson").where((F.col("entry") == F.col("title")) | F.startswith("entry", F.concat("title", F.lit("·"))))
-    cued = hit.join(cues, "entry", "left")
-    rank = F.when(F.contains("body", "cue"), 0).when(F.contains("entry", F.lit("example")), 1).otherwise(2)
-    best = cued.groupBy("task").agg(F.min(F.struct(rank.alias("r"), "ord", "answer")).alias("b"))
-    return tasks.join(best, "task", "left").select("task", "lesson", "title", F.col("b.answer").alias("answer"))
+    parts = F.split("entry", "·")
+    names = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "·"))
+    known = library.select("lesson", "entry", "ord", "answer", F.explode(F.array_distinct(names)).alias("title"))
+    # Of the entries of a lesson and title, only the best one counts without a cue, and the best one of each cue.
+    rank = F.when(F.contains("entry", F.lit("example")), 1).otherwise(2)
+    usual = known.groupBy("lesson", "title").agg(F.min(F.struct(rank.alias("r"), "ord", "answer")).alias("usual"))
+    cued = known.join(cues, "entry").groupBy("lesson", "title", "cue").agg(F.min(F.struct(F.lit(0).alias("r"), "ord", "answer")).alias("cued"))
+    heard = tasks.join(cued, ["lesson", "title"]).where(F.contains("body", "cue")).groupBy("task").agg(F.min("cued").alias("cued"))
+    best = F.coalesce("cued", "usual")["answer"]
+    return tasks.join(usual, ["lesson", "title"], "left").join(heard, "task", "left").select("task", "lesson", "title", best.alias("answer"))
 
 
 def upsert(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:

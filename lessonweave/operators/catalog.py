@@ -112,3 +112,20 @@ def prefix_lookup(wanted: DataFrame, files: DataFrame, bucket: int, kinds: list[
 def resume(jobs: DataFrame, done: DataFrame, key: str, least_bytes: int) -> DataFrame:
     """Jobs whose output is missing or too small."""
     return jobs.join(done.where(F.col("bytes") > least_bytes).select(key), key, "left_anti")
+
+
+def global_places(rows: DataFrame, lead: list[str], last: str, name: str, parts: int = 64) -> DataFrame:
+    """Add the places from 1 in the order of the columns ``lead``, of few different values, and ``last``, a number without repeats.
+
+    No task has all rows: they are ranked within ranges of ``last`` with about as many rows each, and shifted by the counts of the
+    ranges before; there are ``parts`` ranges for each combination of ``lead``.
+    """
+    cuts = rows.agg(F.percentile_approx(last, [k / parts for k in range(1, parts)])).first()[0] or []
+    kind = rows.schema[last].dataType
+    cuts = F.array(*[F.lit(x).cast(kind) for x in sorted(set(cuts))])
+    dealt = rows.withColumn("__range", F.size(F.filter(cuts, lambda x: x < F.col(last))))
+    keys = [*lead, "__range"]
+    ahead = F.coalesce(F.sum("__n").over(Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).withColumn("__ahead", ahead).drop("__n")
+    ranked = dealt.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(last)))
+    return ranked.join(counts, keys).withColumn(name, F.col("__rank") + F.col("__ahead")).drop("__range", "__rank", "__ahead")

@@ -159,13 +159,13 @@ def inject_union(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 WITH u AS (SELECT o_custkey AS k, o_orderkey AS v, o_orderstatus AS s, 0 AS src FROM orders WHERE o_orderkey % 2 = 0 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1
-UNION ALL SELECT o_custkey, o_orderkey, o_orderstatus, 1 FROM orders WHERE o_orderkey % 5 = 0 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1)
+UNION ALL SELECT o_custkey, o_orderkey, o_orderstatus, 1 FROM orders WHERE o_orderkey % 2 = 1 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1)
 SELECT k, v, s FROM u QUALIFY row_number() OVER (PARTITION BY k ORDER BY src DESC) = 1
 """)
 def merge_sources_upsert(spark: SparkSession, d: str) -> DataFrame:
     o = read(spark, d, "orders")
     part = lambda rows: rows.groupBy(F.col("o_custkey").alias("k")).agg(F.min_by(F.struct(F.col("o_orderkey").alias("v"), F.col("o_orderstatus").alias("s")), "o_orderkey").alias("x")).select("k", "x.*")
-    return op.upsert(part(o.where("o_orderkey % 2 = 0")), part(o.where("o_orderkey % 5 = 0")), ["k"])
+    return op.upsert(part(o.where("o_orderkey % 2 = 0")), part(o.where("o_orderkey % 2 = 1")), ["k"])
 
 
 @query("""

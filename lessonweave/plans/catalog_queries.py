@@ -37,7 +37,7 @@ def tree_flatten(spark: SparkSession, d: str) -> DataFrame:
     roots = read(spark, d, "region").join(kids, F.col("r_regionkey") == F.col("n_regionkey"), "left")
     roots = roots.select(F.concat(F.lit("R"), F.col("r_regionkey")).alias("id"), F.col("r_name").alias("title"), (F.col("r_regionkey") + 1).alias("ord"), "kids")
     top = op.flatten_tree(roots, "id", "title", "kids")
-    leaves = read(spark, d, "customer").join(F.broadcast(read(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    leaves = read(spark, d, "customer").join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     order = Window.partitionBy("c_nationkey").orderBy("c_custkey")
     leaves = leaves.select(
         F.concat(F.lit("C"), F.col("c_custkey")).alias("node_id"), F.concat(F.lit("N"), F.col("c_nationkey")).alias("parent_id"), F.row_number().over(order).alias("ord"), F.lit(2).alias("depth"),
@@ -205,7 +205,7 @@ WHERE NOT EXISTS (SELECT 1 FROM nation WHERE n_nationkey = o_custkey % 25 AND n_
 def extra_lessons_anti(spark: SparkSession, d: str) -> DataFrame:
     listed = read(spark, d, "nation").where("n_regionkey < 2").select(F.col("n_nationkey").cast("long").alias("lesson"))
     found = read(spark, d, "orders").select((F.col("o_custkey") % 25).alias("lesson"), F.col("o_custkey").alias("resource")).distinct()
-    return found.join(F.broadcast(listed), "lesson", "left_anti")
+    return found.join(listed, "lesson", "left_anti")
 
 
 @query("""
@@ -265,17 +265,11 @@ def endpoint_routing(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 SELECT o_orderkey, row_number() OVER (ORDER BY coalesce(nullif(o_custkey % 5, 0), 99), coalesce(try_cast(regexp_extract(o_orderpriority, '^(\\d+)-', 1) AS INTEGER), 99), o_orderkey) AS place
-FROM orders WHERE o_totalprice > 250000
+FROM orders
 """.replace("\\\\", "\\"))
 def prefix_sort(spark: SparkSession, d: str) -> DataFrame:
-    """Places in a total order without one task for all rows: ranks within range partitions, shifted by the
-    counts of the partitions before."""
-    key = F.struct(
-        F.coalesce(F.nullif(F.col("o_custkey") % 5, F.lit(0)), F.lit(99)).alias("a"), F.coalesce(F.regexp_extract("o_orderpriority", r"^(\d+)-", 1).try_cast("int"), F.lit(99)).alias("b"), F.col("o_orderkey").alias("c")
-    )
-    rows = read(spark, d, "orders").where("o_totalprice > 250000").select("o_orderkey", key.alias("key"))
-    groups = rows.groupBy(F.col("key.a").alias("a"), F.col("key.b").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    ahead = groups.alias("g").join(groups.alias("h"), F.struct("h.a", "h.b") < F.struct("g.a", "g.b"), "left").groupBy("g.a", "g.b").agg(F.coalesce(F.sum("h.n"), F.lit(0)).alias("ahead"))
-    own = Window.partitionBy("key.a", "key.b").orderBy("key.c")
-    ranked = rows.withColumn("rank", F.row_number().over(own)).join(F.broadcast(ahead), (F.col("key.a") == F.col("a")) & (F.col("key.b") == F.col("b")))
-    return ranked.select("o_orderkey", (F.col("rank") + F.col("ahead")).alias("place"))
+    """Places in a total order without one task for all rows."""
+    group = F.coalesce(F.nullif(F.col("o_custkey") % 5, F.lit(0)), F.lit(99))
+    number = F.coalesce(F.regexp_extract("o_orderpriority", r"^(\d+)-", 1).try_cast("int"), F.lit(99))
+    rows = read(spark, d, "orders").select("o_orderkey", group.alias("group"), number.alias("number"))
+    return op.global_places(rows, ["group", "number"], "o_orderkey", "place").select("o_orderkey", "place")

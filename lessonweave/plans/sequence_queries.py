@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lessonweave.operators import blocks as op
 from lessonweave.operators import sections as sec
+from lessonweave.operators.catalog import global_places
 from lessonweave.sources.tables import read
 
 QUERIES: dict = {}
@@ -241,12 +242,8 @@ def figure_space_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 SELECT p_name, p_partkey, ord FROM (
-  SELECT 0 AS d, p_partkey, p_name, row_number() OVER (ORDER BY p_partkey) AS ord FROM part WHERE p_partkey % 50 = 0)
+  SELECT 0 AS d, p_partkey, p_name, row_number() OVER (ORDER BY p_partkey) AS ord FROM part)
 """)
 def booklet_order(spark: SparkSession, d: str) -> DataFrame:
-    """Places of documents in a booklet: counts of the range before, then the rank within the range."""
-    chosen = read(spark, d, "part").where("p_partkey % 50 = 0").select("p_name", "p_partkey", F.floor(F.col("p_partkey") / 10_000).alias("range"))
-    counts = chosen.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
-    ahead = counts.alias("a").join(counts.alias("b"), F.col("b.range") < F.col("a.range"), "left").groupBy("a.range").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("ahead"))
-    own = Window.partitionBy("range").orderBy("p_partkey")
-    return chosen.withColumn("r", F.row_number().over(own)).join(ahead, "range").select("p_name", "p_partkey", (F.col("r") + F.col("ahead")).alias("ord"))
+    """Places of documents in a booklet."""
+    return global_places(read(spark, d, "part").select("p_name", "p_partkey"), [], "p_partkey", "ord").select("p_name", "p_partkey", "ord")
