@@ -73,15 +73,20 @@ def clean_latex(tex: Column) -> Column:
 
 def fold_math(text: Column) -> Column:
     """Mathematical alphanumerics (a block of styled letters and digits) as plain ones, by rule: each style
-    repeats A-Z, a-z; the digits follow in groups of ten."""
-    styled = "".join(chr(0x1D400 + i) for i in range(0x1D6A4 - 0x1D400)) + "".join(chr(0x1D7CE + i) for i in range(50))
-    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
-    plain = "".join(letters[i % 52] for i in range(0x1D6A4 - 0x1D400)) + "0123456789" * 5
+    repeats A-Z, a-z; each Greek style has the capitals, nabla, the small letters and their variants; the digits follow in groups of ten."""
+    latin = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    row = lambda a, b: "".join(map(chr, range(a, b)))
+    greek = row(0x391, 0x3A2) + "ϴ" + row(0x3A3, 0x3AA) + "∇" + row(0x3B1, 0x3CA) + "∂ϵϑϰϕϱϖ"
+    styled = row(0x1D400, 0x1D6A4) + row(0x1D6A8, 0x1D6A8 + 5 * len(greek)) + row(0x1D7CE, 0x1D800)
+    plain = "".join(latin[i % 52] for i in range(0x1D6A4 - 0x1D400)) + greek * 5 + "0123456789" * 5
     return F.translate(text, styled, plain)
 
 
-#: Private-use code points of the Symbol font and what they stand for.
-SYMBOLS = {"\uf061": "α", "\uf062": "β", "\uf067": "γ", "\uf06d": "μ", "\uf070": "π", "\uf071": "θ", "\uf057": "Ω", "\uf0b4": "×", "\uf0b0": "°", "\uf0ae": "→", "\uf0ac": "←", "\uf0b1": "±", "\uf0a3": "≤", "\uf0b3": "≥"}
+#: Private-use code points of the Symbol font and what they stand for, by the font's public encoding.
+SYMBOLS = {
+    "\uf02b": "+", "\uf03c": "<", "\uf03d": "=", "\uf044": "Δ", "\uf057": "Ω", "\uf061": "α", "\uf062": "β", "\uf065": "ε", "\uf066": "φ", "\uf067": "γ", "\uf06a": "φ", "\uf06c": "λ",
+    "\uf06d": "μ", "\uf070": "π", "\uf071": "θ", "\uf0a3": "≤", "\uf0a8": "♦", "\uf0ac": "←", "\uf0ae": "→", "\uf0b0": "°", "\uf0b1": "±", "\uf0b3": "≥", "\uf0b4": "×", "\uf0b8": "÷",
+}
 
 
 def map_symbols(text: Column, font: Column) -> Column:

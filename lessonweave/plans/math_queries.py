@@ -46,10 +46,17 @@ def omml_to_latex(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "orders").select("o_orderkey", mathx.omml_latex(F.when(F.col("o_orderkey") % 2 == 0, fraction).otherwise(root)).alias("tex"))
 
 
-@query("SELECT page_id, CAST(length(replace(replace(regexp_replace(html, '<[^>]*>', '', 'g'), '&copy;', '©'), '&middot;', '·')) > 0 AS BOOLEAN) AS some FROM pages")
+@query(r"""
+WITH t AS (SELECT page_id, regexp_extract_all(html, '<[^>]*>|&#?\w+;|[\s\S]') AS m FROM pages),
+u AS (SELECT page_id, unnest(m) AS tok, generate_subscripts(m, 1) AS i FROM t),
+o AS (SELECT page_id, i, tok, sum(length(tok)) OVER (PARTITION BY page_id ORDER BY i) - length(tok) AS place FROM u)
+SELECT page_id, count(*) AS n, CAST(sum(place) AS BIGINT) AS at_sum, md5(string_agg(CASE tok WHEN '&copy;' THEN '©' WHEN '&middot;' THEN '·' WHEN '&amp;' THEN '&' WHEN '&lt;' THEN '<' WHEN '&gt;' THEN '>' WHEN '&quot;' THEN '"' WHEN '&nbsp;' THEN chr(160) ELSE tok END, '' ORDER BY i)) AS digest
+FROM o WHERE tok NOT LIKE '<_%' GROUP BY page_id
+""")
 def html_offset_map(spark: SparkSession, d: str) -> DataFrame:
     found = read(spark, d, "pages").select("page_id", mathx.html_offsets(F.col("html")).alias("m"))
-    return found.select("page_id", (F.size("m.at") > 0).alias("some"))
+    total = F.aggregate("m.at", F.lit(0).cast("long"), lambda a, x: a + x)
+    return found.select("page_id", F.size("m.at").cast("long").alias("n"), total.alias("at_sum"), F.md5("m.plain").alias("digest"))
 
 
 @query("""

@@ -117,24 +117,25 @@ def latex_cleanup(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH t AS (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'SymbolMT' ELSE 'Arial' END AS font, chr(CAST(61440 + 97 + p_size % 20 AS INTEGER)) || p_name || chr(61620) AS text FROM part)
-SELECT p_partkey, CASE WHEN contains(lower(font), 'symbol') THEN translate(text, chr(61537) || chr(61538) || chr(61543) || chr(61549) || chr(61552) || chr(61553) || chr(61527) || chr(61620) || chr(61616) || chr(61614) || chr(61612) || chr(61617) || chr(61603) || chr(61619), 'αβγμπθΩ×°→←±≤≥') ELSE text END AS text FROM t
+WITH t AS (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'SymbolMT' ELSE 'Arial' END AS font, chr(CAST([61483, 61500, 61501, 61508, 61527, 61537, 61538, 61541, 61542, 61543, 61546, 61548, 61549, 61552, 61553, 61603, 61608, 61612, 61614, 61616, 61617, 61619, 61620, 61624, 61555][p_partkey % 25 + 1] AS INTEGER)) || p_name || chr(61620) AS text FROM part)
+SELECT p_partkey, CASE WHEN contains(lower(font), 'symbol') THEN translate(text, list_aggregate(list_transform([61483, 61500, 61501, 61508, 61527, 61537, 61538, 61541, 61542, 61543, 61546, 61548, 61549, 61552, 61553, 61603, 61608, 61612, 61614, 61616, 61617, 61619, 61620, 61624], lambda c: chr(CAST(c AS INTEGER))), 'string_agg', ''), '+<=ΔΩαβεφγφλμπθ≤♦←→°±≥×÷') ELSE text END AS text FROM t
 """)
 def symbol_map(spark: SparkSession, d: str) -> DataFrame:
-    codes = F.array(*[F.lit(chr(0xF000 + 97 + i)) for i in range(20)])
-    text = F.concat(F.element_at(codes, F.col("p_size") % 20 + 1), F.col("p_name"), F.lit("\uf0b4"))
+    codes = F.array(*[F.lit(c) for c in [*fn.SYMBOLS, "\uf073"]])
+    text = F.concat(F.element_at(codes, (F.col("p_partkey") % 25 + 1).cast("int")), F.col("p_name"), F.lit("\uf0b4"))
     font = F.when(F.col("p_partkey") % 2 == 0, "SymbolMT").otherwise("Arial")
     return read(spark, d, "part").select("p_partkey", fn.map_symbols(text, font).alias("text"))
 
 
 @query("""
-SELECT p_partkey, chr(CAST(65 + p_partkey % 26 AS INTEGER)) || chr(CAST(97 + p_partkey % 26 AS INTEGER)) || (p_partkey % 10) || p_name AS text FROM part
+SELECT p_partkey, chr(CAST(65 + p_partkey % 26 AS INTEGER)) || chr(CAST(97 + p_partkey % 26 AS INTEGER)) || (p_partkey % 10) || chr(CAST(945 + p_partkey % 25 AS INTEGER)) || chr(CAST(913 + p_partkey % 17 AS INTEGER)) || p_name AS text FROM part
 """)
 def math_alnum_fold(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("p_partkey")
     pick = lambda chars, n: F.element_at(F.array(*[F.lit(c) for c in chars]), (k % n + 1).cast("int"))
-    text = F.concat(pick([chr(0x1D434 + i) for i in range(26)], 26), pick([chr(0x1D41A + i) for i in range(26)], 26), pick([chr(0x1D7D8 + i) for i in range(10)], 10), F.col("p_name"))
-    return read(spark, d, "part").select("p_partkey", fn.fold_math(text).alias("text"))
+    latin = [pick([chr(0x1D434 + i) for i in range(26)], 26), pick([chr(0x1D41A + i) for i in range(26)], 26), pick([chr(0x1D7D8 + i) for i in range(10)], 10)]
+    greek = [pick([chr(0x1D6FC + i) for i in range(25)], 25), pick([chr(0x1D6A8 + i) for i in range(17)], 17)]
+    return read(spark, d, "part").select("p_partkey", fn.fold_math(F.concat(*latin, *greek, F.col("p_name"))).alias("text"))
 
 
 _SRT = """
