@@ -5,8 +5,10 @@ fewer). Documents with equal sets are one class of copies and are never expanded
 Jaccard similarity is at least 0.8. Band and row counts follow from the recall asked for at that
 similarity. Sets that share a band hash are joined into candidate groups through the bucket's smallest
 member, so a bucket costs as many edges as it has members. A candidate group is cut into blocks of bounded
-size, and each pair of blocks is compared exactly in a task of its own, on whole sets, which gives the
-number of links of each set and a spanning forest of the links. Neither step emits pairs.
+size, of sets with the same least band hash where there are enough, so that similar sets are mostly in one block. Only
+pairs of blocks with a band in common are compared, exactly, each in a task of its own, on whole sets, which gives the
+number of links of each set and a spanning forest of the links. Neither step emits pairs of sets, and a set is copied
+to the blocks that it may have a link to, not to all of its group.
 
 Ids of sets are 64-bit hashes; two different sets get one id with a chance of 2**-64.
 
@@ -222,28 +224,37 @@ def _joined(large: DataFrame, small: DataFrame, on, how: str = "inner") -> DataF
     return large.join(F.broadcast(small) if small.count() <= SMALL else small, on, how)
 
 
-def link_documents(documents: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+def link_documents(documents: DataFrame, size_of_shingle: int = SHINGLE, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """(doc, key, set_id, links, root, first): one row per document; ``key`` is the hash of its text,
     ``links`` the number of other documents linked to it, ``root`` its connected group and ``first`` the
     group's first (doc, key, c), where c rows are equal to that one. Null ``root``: in no group."""
     bands, rows = choose_bands(threshold, recall)
-    signed = durable(signed_sets(documents, size, bands, rows))
+    signed = durable(signed_sets(documents, size_of_shingle, bands, rows))
     copies = signed.where("set_id IS NOT NULL").groupBy("set_id", "doc", "key").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     sets = durable(copies.groupBy("set_id").agg(F.sum("c").alias("n_docs"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.min(F.struct("doc", "key", "c")).alias("first")))
     spread = sets.select(F.col("set_id").alias("id"), F.explode("bands").alias("band"))
     met = durable(spread.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count(F.lit(1)).alias("size")).where("size > 1"))
     crowded = _joined(spread, met.where("size > 2").select("band", "a"), "band").select("a", F.col("id").alias("b"))
     groups = connected_components(met.where("size = 2").select("a", "b").unionByName(crowded))
-    members = groups.select(F.col("node").alias("set_id"), "root").join(sets.drop("bands"), "set_id")
-    weights = members.groupBy("root").agg(F.count(F.lit(1)).alias("w"), F.sum("n").alias("shingles"))
-    blocks = F.ceil(F.greatest(F.col("w") / BLOCK_SETS, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    members = durable(members.join(weights.select("root", blocks.alias("blocks")), "root").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")))
-    wanted = members.select(F.col("first.doc").alias("doc"), F.col("first.key").alias("key"), "root", "blocks", "block", F.col("set_id").alias("id"), "n_docs")
+    members = groups.select(F.col("node").alias("set_id"), "root").join(sets, "set_id").withColumn("least", F.array_min("bands"))
+    size = lambda own, shingles: F.ceil(F.greatest(own / BLOCK_SETS, shingles / BLOCK_SHINGLES)).cast("int")
+    alike = members.groupBy("root", "least").agg(F.count(F.lit(1)).alias("own"), F.sum("n").alias("shingles"))
+    alike = durable(alike.withColumn("parts", size(F.col("own"), F.col("shingles"))))
+    weights = alike.where("parts = 1").groupBy("root").agg(size(F.sum("own"), F.sum("shingles")).alias("blocks"))
+    # Many sets with one least band hash fill blocks of their own; the others share the group's.
+    cut = alike.join(weights, "root", "left").select("root", "least", "parts", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("least"), F.col("blocks"))).alias("shared"))
+    block = F.coalesce("shared", F.xxhash64("least", F.pmod(F.xxhash64("set_id"), F.col("parts"))))
+    members = durable(members.join(cut, ["root", "least"]).select("set_id", "root", "n_docs", "first", "bands", block.alias("block")))
+    there = members.select("root", "block", F.explode("bands").alias("band")).distinct()
+    i, j = (there.select("root", F.col("block").alias(n), "band") for n in ("i", "j"))
+    meet = i.join(j, ["root", "band"]).where("i < j").select("root", "i", "j").distinct()
+    meet = durable(meet.unionByName(members.select("root", F.col("block").alias("i"), F.col("block").alias("j")).distinct()))
+    wanted = members.select(F.col("first.doc").alias("doc"), F.col("first.key").alias("key"), "root", "block", F.col("set_id").alias("id"), "n_docs")
     docs = documents.select(F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__key"), F.col("text").cast("string").alias("text"))
     texts = _joined(docs, wanted, F.col("__doc").eqNullSafe(F.col("doc")) & (F.col("__key") == F.col("key")))
-    full = _with_sets(texts.select("root", "blocks", "block", "id", "n_docs", "text"), size)
-    dealt = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "n_docs", "members")
+    full = _with_sets(texts.select("root", "block", "id", "n_docs", "text"), size_of_shingle)
+    sides = meet.select("root", F.col("i").alias("block"), "i", "j").unionByName(meet.where("i <> j").select("root", F.col("j").alias("block"), "i", "j"))
+    dealt = _joined(full, sides, ["root", "block"]).select("root", "i", "j", "block", "id", "n_docs", "members")
     found = durable(_compare(dealt.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j"), threshold))
     roots = connected_components(found.select(F.col("id").alias("a"), F.col("peer").alias("b")))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
@@ -253,7 +264,10 @@ def link_documents(documents: DataFrame, size: int = SHINGLE, threshold: float =
     grouped = durable(grouped.select("id", F.coalesce("root", "id").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("n_docs") - 1).alias("links"), "first"))
     firsts = grouped.groupBy("root").agg(F.min("first").alias("first"))
     grouped = durable(grouped.drop("first").join(firsts, "root"))
-    return _joined(signed.select("doc", "key", "set_id"), grouped, F.col("set_id") == F.col("id"), "left").select("doc", "key", "set_id", "links", "root", "first")
+    # Documents without words have no group, and would all meet in one task.
+    own = signed.select("doc", "key", "set_id")
+    found = _joined(own.where("set_id IS NOT NULL"), grouped, F.col("set_id") == F.col("id"), "left").select("doc", "key", "set_id", "links", "root", "first")
+    return found.unionByName(own.where("set_id IS NULL"), allowMissingColumns=True)
 
 
 def keep_first(documents: DataFrame) -> DataFrame:
