@@ -5,8 +5,8 @@ A shift table tells for each block how far the search may jump; where it tells 0
 window's suffix block gives the test strings and their bytes are compared. Many stretches of text are
 searched in step, so that each step is one numpy operation.
 
-Documents are only read, never shuffled. The patterns are broadcast; a benchmark beyond ``block_bytes`` is
-cut into blocks below that size, one after the other, with what has been hit so far carried along with
+Documents are only read, never shuffled. The patterns are broadcast; a benchmark beyond ``block_windows``
+windows is cut into blocks below that number, one after the other, with what has been hit so far carried along with
 each document, so that each broadcast stays bounded.
 
 Defined cases: a null or empty text has no words; an item with a null id or no words is left out; items
@@ -142,12 +142,13 @@ def find_hits(data: np.ndarray, offsets: np.ndarray, patterns: list[Patterns]):
     return w, np.cumsum(change[:-1]) > 0, pairs
 
 
-def decontaminate(documents: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, block_bytes: int = 32 << 20) -> DataFrame:
+def decontaminate(documents: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, block_windows: int = 200_000) -> DataFrame:
     """All columns of ``documents`` and ``__n_words``, ``__n_hit`` (long), ``__items`` (array of item ids as
     strings, sorted)."""
     bench = benchmark.select(F.col("item_id").cast("string").alias("k"), F.col("text").alias("t")).where("k IS NOT NULL AND t IS NOT NULL")
-    size = bench.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
-    n_blocks = max(1, -(-size // block_bytes))
+    words = F.regexp_count("t", F.lit(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+"))  # no item has more windows than words
+    size = bench.agg(F.coalesce(F.sum(words), F.lit(0))).first()[0]
+    n_blocks = max(1, -(-size // block_windows))
     kept = documents.columns
     out = documents.withColumns({"__bits": F.lit(None).cast("binary"), "__n_words": F.lit(0).cast("long"), "__n_hit": F.lit(0).cast("long"), "__items": F.array().cast("array<string>")})
     for b in range(n_blocks):

@@ -48,15 +48,15 @@ def brute_hits(text, items):
     return len(ws), len(hit), sorted(ids)
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 200])
-def test_decontamination_is_exact(spark, block_bytes):
+@pytest.mark.parametrize("block_windows", [1 << 20, 20])
+def test_decontamination_is_exact(spark, block_windows):
     rng = random.Random(3)
     some = lambda n: " ".join(rng.choice("ab cd ef gh ij".split()) for _ in range(n))
     items = [(i, some(rng.choice([0, 1, 3, 9, 10, 14]))) for i in range(12)] + [(None, "ab cd"), (50, None), (3, "zz"), (7, "Éa ÉA")]
     rows = [(i, some(rng.randint(0, 40)), 1.0) for i in range(60)] + [(5, "zz " * 3000, 0.0), (None, "éa Éa ÉA zz", 1.0), (60, None, 1.0), (61, "", 1.0), (61, "", 1.0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_hit double").repartition(3)
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = decontamination.decontaminate(docs, bench, block_bytes=block_bytes)
+    got = decontamination.decontaminate(docs, bench, block_windows=block_windows)
     assert got.columns[:3] == ["doc_id", "text", "n_hit"]
     out = [((r["doc_id"], r["text"]), (r["__n_words"], r["__n_hit"], r["__items"])) for r in got.collect()]
     assert len(out) == len(rows) and all(v == brute_hits(k[1], items) for k, v in out)
