@@ -29,8 +29,8 @@ _EMAIL = rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 _IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-_SECRET = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]{0,40}[0-9])(?=[0-9_+/-]{0,40}[A-Za-z])[A-Za-z0-9_+/-]{20,}+"
-_VEILED = rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}+ ?[\[(]at[\])] ?[A-Za-z0-9-]{{1,63}}+(?: ?[\[(]dot[\])] ?[A-Za-z0-9-]{{1,63}}+)+"
+_SECRET = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])(?=[0-9_+/-]*+[A-Za-z])[A-Za-z0-9_+/-]{20,}+"
+_VEILED = rf"(?<!{_LOCAL}){_LOCAL}++ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?[\[(]dot[\])] ?[A-Za-z0-9-]++)+"
 
 #: Top-level domains, issuer prefixes, country codes and names of secrets that the gazetteers know.
 _DOMAINS = r"(?i)[.)\] ](com|org|net|edu|gov|info|io|de|fr|es|uk|eu|it|nl|ch|at|us|ca|au|jp)$"
@@ -252,6 +252,7 @@ def op6_pii(spark, sf_dir: str) -> DataFrame:
 
     found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("__spans", lambda x: x["base"])
-    kinds = F.transform(base, lambda x: x["kind"])
-    count = [(F.size(kinds) - F.size(F.array_remove(kinds, k.name))).cast("long").alias(f"n_{k.name}") for k in KINDS if k.base]
-    return found.select("doc_id", *count, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("__spans")).alias("spans"))
+    kinds = F.transform("__spans", lambda x: x["kind"])
+    count = {k: (F.size(kinds) - F.size(F.array_remove(kinds, k.name))).cast("long").alias(f"n_{k.name}") for k in KINDS}
+    first, more = ([c for k, c in count.items() if k.base is kind] for kind in (True, False))
+    return found.select("doc_id", *first, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("__spans")).alias("spans"), *more)
