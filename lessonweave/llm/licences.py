@@ -1,7 +1,7 @@
 """Licence scan of paragraphs, with DataFrame functions only.
 
 A paragraph (a non-blank line) is classified by multinomial logistic regression on its word 1- and 2-grams
-into a licence family, ``unknown`` (speaks of a licence, of no known family) or none. It is trained on the
+into a licence family, ``unknown`` (text under a licence of no known family) or none, which ordinary prose about licences is too. It is trained on the
 driver on sentences built from the templates below and on a bounded sample of the corpus's own paragraphs
 as examples of none. A temperature fitted on sentences kept apart calibrates the probabilities. A predicted
 family is confirmed by comparison with its templates: enough of one template's words must occur in the
@@ -45,6 +45,12 @@ FAMILIES = {
 }
 PHRASES = ["licensed under {}", "licensed under the {}", "released under the {}", "released under {}", "this work is licensed under the {}", "distributed under the terms of the {}", "available under the {}", "this software is licensed under the {}", "see the {} for details", "spdx license identifier {}", "license {}", "{}"]
 OTHERS = ["Example Corp Proprietary License", "Acme End User License Agreement", "Foo Bar License 1.1", "Zeta Community License", "Evaluation License", "Commercial License", "Custom License 2024", "vendor licence terms"]
+#: Ordinary prose that names licences, as examples of none.
+ORDINARY = [
+    "your driver's license has expired", "she lost her driving licence last year", "he applied for a fishing license", "a license for the dog costs ten dollars", "the pilot kept her licence",
+    "they need a marriage license first", "the bar lost its liquor licence", "a licensed practitioner must sign here", "poetic licence explains the rest", "the television licence fee rose again", "he was licensed to practise medicine",
+    "bring your license and registration", "the hunting license must be renewed each year", "the state licensing board met today", "drivers without a license were fined", "the club holds a gaming license", "the nurse renewed her license", "license plates were stolen",
+]
 NONE, UNKNOWN = "none", "unknown"
 CLASSES = [NONE, UNKNOWN, *FAMILIES]
 
@@ -74,7 +80,7 @@ def _sentences() -> list[tuple[str, str]]:
     for family, (names, notices) in FAMILIES.items():
         out += [(p.format(n), family) for n in names for p in PHRASES]
         out += [(n, family) for n in notices for _ in range(4)]
-    return out + [(p.format(n), UNKNOWN) for n in OTHERS for p in PHRASES]
+    return out + [(p.format(n), UNKNOWN) for n in OTHERS for p in PHRASES] + [(s, NONE) for s in ORDINARY for _ in range(6)]
 
 
 def fit_licences(documents: DataFrame, text: str = "text", sample_paragraphs: int = 5000, threshold: float = 0.6, rounds: int = 400) -> LicenceModel:
