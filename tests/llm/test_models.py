@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,6 +141,15 @@ def test_licence_features_are_counted_in_all_paragraphs(spark):
     assert not {"zeta", "foo"} & set(model.weights) and {"mozilla", "bar"} <= set(model.weights)
 
 
+def test_ordinary_prose_about_licences_is_none(spark, tables):
+    model = licences.fit_licences(tables["documents"])
+    prose = ["Your driving license must be renewed each year.", "She bought a license for her dog.", "The pilot lost his licence in May."]
+    real = ["Covered by the Foo Community License 3.", "Licensed under the terms of the Acme Corp License Agreement."]
+    docs = spark.createDataFrame(list(enumerate(prose + real)), "doc_id long, text string")
+    got = {r["doc_id"]: [h["family"] for h in r["__hits"]] for r in licences.scan_licences(docs, model).collect()}
+    assert got == {0: [], 1: [], 2: [], 3: ["unknown"], 4: ["unknown"]}
+
+
 def test_wrapped_notices_have_their_family(spark, tables):
     model = licences.fit_licences(tables["documents"])
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the Software)."
@@ -180,6 +190,37 @@ def test_long_and_linked_template_text_goes(spark):
     assert got == {k: f"Title {k} Own words of page {k} {'and more ' * 40}".strip() for k in range(6)}
 
 
+def test_scores_are_those_of_a_plain_loop():
+    """The network's forward pass and the cumulative-link model, value by value in plain Python."""
+    rng = np.random.default_rng(4)
+    net = quality.train(["good words here " * 40, "bad#bad#" * 50, "fine text " * 30, "##" * 90] * 3, [1, 0, 1, 0] * 3, steps=20)
+    texts = ["", "short", "a longer text of words " * 60, bytes(rng.integers(32, 127, 1000).astype(np.uint8)).decode()]
+    data, offsets = quality.flat_text(pa.array(texts))
+    for text, score in zip(texts, quality.score_rows(net, data, offsets), strict=True):
+        raw, pooled = text.encode(), []
+        for at in range(0, max(1, len(raw) - quality.WIDTH), quality.STEP) if len(raw) > quality.WIDTH else [0]:
+            chunk = (raw[at : at + quality.CHUNK] + bytes(quality.CHUNK))[: quality.CHUNK]
+            values = []
+            for f in range(quality.FILTERS):
+                windows = range(0, quality.WINDOWS * quality.HOP, quality.HOP)
+                best = max(sum(float(net.embed[chunk[w + i], j]) * float(net.filters[i * quality.DIM + j, f]) for i in range(quality.WIDTH) for j in range(quality.DIM)) for w in windows)
+                values.append(max(0.0, best + float(net.bias[f])))
+            pooled.append(values)
+        z = float(net.offset[0]) + sum(float(net.mean_w[f]) * sum(p[f] for p in pooled) / len(pooled) + float(net.max_w[f]) * max(p[f] for p in pooled) for f in range(quality.FILTERS))
+        assert abs(score - 1 / (1 + np.exp(-z))) < 1e-4
+    model = toxicity.train(["you fool and clown"] * 9 + ["kind words for you"] * 9, [1] * 9 + [0] * 9)
+    known = {w: toxicity.hash_words(toxicity.find_words(*quality.flat_text(pa.array([w]))))[0] for w in "you fool and clown kind words for".split()}
+    place = {int(h): i for i, h in enumerate(model.words)}
+    for text in ("fool fool clown", "kind", "", "Fool, you!"):
+        counts = {}
+        for w in re.findall("[a-z]+", text.lower()):
+            counts[w] = counts.get(w, 0) + 1
+        z = sum(float(model.weight[place[int(known[w])]]) * np.log1p(n) for w, n in counts.items() if int(known[w]) in place)
+        want = [1 / (1 + np.exp(t - z)) for t in model.thresholds]
+        data, offsets = quality.flat_text(pa.array([text]))
+        assert np.allclose(model.exceed(data, offsets)[0], want) and list(want) == sorted(want, reverse=True)
+
+
 def pages_of(spark, *pages):
     return spark.createDataFrame([(k, f"http://h.example/{k}", p) for k, p in enumerate(pages)], "page_id long, url string, html string")
 
