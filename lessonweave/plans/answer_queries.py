@@ -6,20 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lessonweave.operators import answers as op
+from lessonweave.plans.common import collection
 from lessonweave.sources.tables import read
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def put(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return put
+QUERIES, SQL, query = collection()
 
 
 _PAIRS_SQL = """

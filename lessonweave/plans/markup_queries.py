@@ -7,20 +7,10 @@ from pyspark.sql import functions as F
 
 from lessonweave.functions import text as fn
 from lessonweave.operators import markup as op
+from lessonweave.plans.common import collection
 from lessonweave.sources.tables import read
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def put(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return put
+QUERIES, SQL, query = collection()
 
 
 _LINES = "WITH l0 AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), lines AS (SELECT doc_id, unnest(ls) AS text, CAST(unnest(generate_series(0, len(ls) - 1)) AS INTEGER) AS idx FROM l0)"
