@@ -193,7 +193,14 @@ def doc_type_detect(spark: SparkSession, d: str) -> DataFrame:
     return marked.groupBy("doc_id").agg((~F.bool_or("head") & ((F.count_if("mark") >= 3) | (F.count_if("pair") >= 3))).alias("exercise"))
 
 
-@query()
+@query("""
+WITH c AS (SELECT conv_id AS doc, turn AS idx, role, text, sum(CASE role WHEN 'user' THEN 1 ELSE 0 END) OVER w AS n FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)),
+e AS (SELECT *, CASE WHEN text IS NULL THEN NULL WHEN role = 'system' THEN 'h' WHEN role = 'user' THEN CASE WHEN n < 100 THEN 'q' END ELSE 'a' END AS ev FROM c),
+s AS (SELECT *, last_value(CASE ev WHEN 'h' THEN -1 WHEN 'q' THEN n END IGNORE NULLS) OVER (PARTITION BY doc ORDER BY idx ROWS UNBOUNDED PRECEDING) AS cur FROM e),
+f AS (SELECT *, CASE WHEN ev = 'a' AND coalesce(cur, -1) < 0 THEN NULL ELSE ev END AS ef FROM s),
+g AS (SELECT *, last_value(ef IGNORE NULLS) OVER w AS now, count(ef) OVER w AS sid, count(*) FILTER (ev = 'h') OVER w AS grp FROM f WINDOW w AS (PARTITION BY doc ORDER BY idx ROWS UNBOUNDED PRECEDING))
+SELECT doc, idx, CAST(sid AS INTEGER) AS sid, CASE now WHEN 'h' THEN 'h' WHEN 'q' THEN 'q' WHEN 'a' THEN 'ans' ELSE 'pre' END AS kind, CASE now WHEN 'h' THEN '课后练习' WHEN 'a' THEN '答案' END AS title, CAST(nullif(cur, -1) AS INTEGER) AS no, CAST(grp AS INTEGER) AS grp FROM g
+""")
 def sectionizer_fold(spark: SparkSession, d: str) -> DataFrame:
     """Conversations as numbered blocks: the system's turn is a heading, users ask, assistants answer."""
     w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
@@ -202,7 +209,16 @@ def sectionizer_fold(spark: SparkSession, d: str) -> DataFrame:
     return sec.sectionize(read(spark, d, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("idx"), F.concat(head, "text").alias("text")))
 
 
-@query()
+@query(
+    _LINES.replace("WITH", "WITH RECURSIVE", 1)
+    + """, h AS (SELECT doc_id, idx, CAST(ceil(length(text) / 60.0) * 18 + 6 AS BIGINT) AS height, row_number() OVER (PARTITION BY doc_id ORDER BY idx) AS r FROM lines),
+f AS (
+  SELECT doc_id, idx, height, r, CAST(0 AS BIGINT) AS top FROM h WHERE r = 1
+  UNION ALL SELECT h.doc_id, h.idx, h.height, h.r, CASE WHEN h.height <= 740 AND (f.top + f.height) % 740 + h.height > 740 THEN ((f.top + f.height) // 740 + 1) * 740 ELSE f.top + f.height END FROM f JOIN h ON h.doc_id = f.doc_id AND h.r = f.r + 1
+)
+SELECT doc_id, idx, height, top // 740 AS page FROM f
+"""
+)
 def pagination_fixpoint(spark: SparkSession, d: str) -> DataFrame:
     rows = lines(spark, d).select("doc_id", "idx", (F.ceil(F.length("text") / 60) * 18 + 6).cast("long").alias("height"))
     return sec.paginate(rows, "doc_id", "idx", "height", 740)
