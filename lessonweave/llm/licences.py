@@ -88,7 +88,8 @@ def fit_licences(documents: DataFrame, text: str = "text", sample_paragraphs: in
     hashes. Which words are rare is counted over all paragraphs. Those that name a licence themselves are left
     out of both. Of a paragraph of any length, only the templates' n-grams come to the driver."""
     made = _sentences()
-    names = {g for s, _ in made for g in grams(words_of(s))}
+    # Of ordinary prose, only pairs with a word for licences are features: more of them would make more paragraphs worth scoring.
+    names = {g for s, _ in made for g in grams(words_of(s)) if s not in ORDINARY or (" " in g and "licen" in g)}
     t = F.col(text).cast("string")
     lines = documents.where(t.isNotNull()).select(F.explode(F.split(t, "\n")).alias("line"))
     lines = lines.where((F.trim("line") != "") & ~F.col("line").rlike("(?i)licen[sc]"))
