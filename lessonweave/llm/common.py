@@ -33,6 +33,15 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def forget(df: DataFrame) -> None:
+    """Delete the files of a checkpoint that ``durable`` wrote; no frame that is still to be read may rest on it."""
+    sc = df.sparkSession.sparkContext
+    file = df._jdf.logicalPlan().rdd().getCheckpointFile()
+    if file.isDefined():
+        path = sc._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Rows that Spark hands to Python at a time, where the session has Spark's own default of 10,000: texts may be long.
 BATCH_ROWS = "1000"
 
