@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from lessonweave.llm import decontamination, html_extract, jaccard, licences, line_dedup, packing, pii, quality, topk, toxicity
+from lessonweave.llm import collocations, decontamination, html_extract, jaccard, licences, line_dedup, packing, pii, quality, secret_scan, topk, toxicity, vector_codes
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_topk": topk.op8_topk,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_collocations": collocations.op12_collocations,
+    "op13_secrets": secret_scan.op13_secrets,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -23,4 +26,5 @@ ORACLE_SQL = {
     "op5_jaccard": jaccard.OP5_SQL,
     "op8_topk": topk.OP8_SQL,
     "op9_decontamination": decontamination.OP9_SQL,
+    "op12_collocations": collocations.OP12_SQL,
 }
