@@ -2,24 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lessonweave.operators.scans import prefix_scan
+
 
 def number_questions(turns: DataFrame, doc: str, order: str, is_question: Column) -> DataFrame:
     """``no``: the running number of the question that a row belongs to; rows before the first question
     belong to it too (a pending head). Null in documents without a question."""
-    w = Window.partitionBy(doc).orderBy(order)
-    running = F.sum(is_question.cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    last = F.max("__run").over(Window.partitionBy(doc))
-    return turns.withColumn("__run", running).withColumn("no", F.when(last > 0, F.greatest("__run", F.lit(1)))).drop("__run")
+    found = prefix_scan(turns, [doc], order, sums={"__run": is_question.cast("int")}, firsts={"__any": F.when(is_question, 1)})
+    return found.withColumn("no", F.when(F.col("__any") == 1, F.greatest("__run", F.lit(1)))).drop("__run", "__any")
 
 
 def attach_to_number(rows: DataFrame, doc: str, order: str, number: str) -> DataFrame:
     """Forward fill of ``number``; rows before the first number go to that first number."""
-    back = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    every = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return rows.withColumn("owner", F.coalesce(F.last(number, ignorenulls=True).over(back), F.first(number, ignorenulls=True).over(every)))
+    found = prefix_scan(rows, [doc], order, lasts={"owner": F.col(number)}, firsts={"__first": F.col(number)})
+    return found.withColumn("owner", F.coalesce("owner", "__first")).drop("__first")
 
 
 def joined_text(text: Column, order: Column, sep: str) -> Column:

@@ -2,43 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lessonweave.operators.scans import RANGE, following, in_ranges, prefix_scan
+
 
 def islands(rows: DataFrame, part: list[str], order: list[str], breaks: Column, name: str = "island") -> DataFrame:
     """Number the runs of rows: a new one begins where ``breaks`` holds; the first has number 0."""
-    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn(name, F.sum(F.when(breaks, 1).otherwise(0)).over(w))
+    return prefix_scan(rows, part, order, sums={name: F.when(breaks, 1).otherwise(0)})
 
 
 def paragraphs(lines: DataFrame, part: list[str], order: list[str], factor: float = 1.35) -> DataFrame:
     """Lines with y0, y1 and size to paragraphs: a gap of more than ``factor`` sizes begins a new one. A
     space joins two lines only between ASCII letters or digits."""
-    w = Window.partitionBy(*part).orderBy(*order)
-    gap = F.col("y0") - F.lag("y1").over(w) > F.lag("size").over(w) * factor
-    cut = islands(lines.withColumn("__gap", F.coalesce(gap, F.lit(False))), part, order, F.col("__gap"), "para")
-    own = Window.partitionBy(*part, "para").orderBy(*order)
-    glue = F.when(F.lag("text").over(own).rlike("[0-9A-Za-z]$") & F.col("text").rlike("^[0-9A-Za-z]"), F.lit(" ")).otherwise(F.lit(""))
+    ranged, split = in_ranges(lines, part, order)
+    before = prefix_scan(ranged, part, order, lags={"__before": F.struct("y1", "size", "text")}, cut=split)
+    gap = F.coalesce(F.col("y0") - F.col("__before.y1") > F.col("__before.size") * factor, F.lit(False))
+    cut = prefix_scan(before.withColumn("__gap", gap), part, order, sums={"para": F.col("__gap").cast("int")}, cut=split)
+    glue = F.when(~F.col("__gap") & F.col("__before.text").rlike("[0-9A-Za-z]$") & F.col("text").rlike("^[0-9A-Za-z]"), F.lit(" ")).otherwise(F.lit(""))
     parts = cut.withColumn("__t", F.concat(glue, "text"))
     return parts.groupBy(*part, "para").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "__t"))), lambda x: x["__t"]), "").alias("text"), F.count(F.lit(1)).alias("n_lines"))
 
 
 def repair_numbers(rows: DataFrame, part: list[str], order: list[str], number: str) -> DataFrame:
     """Rows without a number get the number before plus one, from 1 where nothing stands before."""
-    run = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    cut = rows.withColumn("__isl", F.count(number).over(run))
-    own = Window.partitionBy(*part, "__isl").orderBy(*order)
-    start = F.max(number).over(own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    place = F.row_number().over(own)
-    fixed = F.when(F.col(number).isNotNull(), F.col(number)).otherwise(F.when(start.isNull(), place).otherwise(start + place - 1))
-    return cut.withColumn("no", fixed).drop("__isl")
+    ranged, split = in_ranges(rows, part, order)
+    placed = prefix_scan(ranged, part, order, sums={"__at": F.lit(1)}, cut=split)
+    told = F.when(F.col(number).isNotNull(), F.struct(F.col(number).alias("n"), F.col("__at").alias("at")))
+    found = prefix_scan(placed, part, order, lasts={"__told": told}, cut=split)
+    fixed = F.coalesce(F.col("__told.n") + F.col("__at") - F.col("__told.at"), "__at")
+    return found.withColumn("no", fixed).drop("__at", "__told", RANGE)
 
 
-def followed_by(rows: DataFrame, part: list[str], order: list[str], what: Column, within: int) -> Column:
-    """Whether one of the next ``within`` rows is of the kind."""
-    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(1, within)
-    return F.coalesce(F.max(what.cast("int")).over(w) == 1, F.lit(False))
+def followed_by(rows: DataFrame, part: list[str], order: list[str], within: dict[str, tuple[Column, int]]) -> DataFrame:
+    """Columns that tell whether one of the next rows, so many as given, is of the kind."""
+    most = max(n for _, n in within.values())
+    kinds = F.struct(*[F.coalesce(what, F.lit(False)).alias(name) for name, (what, _) in within.items()])
+    seen = following(rows, part, order, kinds, most, "__next")
+    any_of = lambda name, n: F.exists(F.slice("__next", 1, n), lambda x: x[name]).alias(name)
+    return seen.select(*rows.columns, *[any_of(name, n) for name, (_, n) in within.items()])
 
 
 def mode_size(spans: DataFrame, part: list[str], value: str, order: str) -> DataFrame:
@@ -48,39 +54,84 @@ def mode_size(spans: DataFrame, part: list[str], value: str, order: str) -> Data
 
 
 def outside_bands(fragments: DataFrame, bands: DataFrame, keys: list[str]) -> DataFrame:
-    """Fragments whose height's point at three fifths lies in no band of the same keys. The equality
-    of the keys makes it a keyed anti-join with a range as its residual."""
-    b = bands.select(*[F.col(k).alias(f"__{k}") for k in keys], "lo", "hi")
-    same = F.lit(True)
-    for k in keys:
-        same = same & (F.col(k) == F.col(f"__{k}"))
-    y = F.col("y0") + 0.6 * (F.col("y1") - F.col("y0"))
-    return fragments.join(b, same & (y >= F.col("lo")) & (y <= F.col("hi")), "left_anti")
+    """Fragments whose height's point at three fifths lies in no band of the same keys.
+
+    A point is in a band if, of the bands that begin at it or before, one reaches it: so the running maximum of their ends
+    tells, in one scan of points and bands by height. A fragment without a height is in none.
+    """
+    given = fragments.columns
+    points = fragments.withColumns({"__y": F.col("y0") + 0.6 * (F.col("y1") - F.col("y0")), "__point": F.lit(1), "__hi": F.lit(None).cast("double")})
+    begins = bands.where("lo IS NOT NULL AND hi IS NOT NULL").select(*keys, F.col("lo").cast("double").alias("__y"), F.lit(0).alias("__point"), F.col("hi").cast("double").alias("__hi"))
+    both = points.where("__y IS NOT NULL").unionByName(begins, allowMissingColumns=True)
+    scanned = prefix_scan(both, keys, ["__y", "__point"], highs={"__reached": F.col("__hi")})
+    out = scanned.where("__point = 1 AND (__reached IS NULL OR __reached < __y)").select(*given)
+    return out.unionByName(points.where("__y IS NULL").select(*given))
 
 
 def uncovered(rects: DataFrame, images: DataFrame, key: str, share: float = 0.6) -> DataFrame:
-    """Rectangles that no image of the same page covers by more than ``share`` of their area."""
-    i = images.select(F.col(key).alias("__k"), *[F.col(c).alias(f"i{c}") for c in ("x0", "y0", "x1", "y1")])
-    wide = F.greatest(F.lit(0.0), F.least("x1", "ix1") - F.greatest("x0", "ix0"))
-    high = F.greatest(F.lit(0.0), F.least("y1", "iy1") - F.greatest("y0", "iy0"))
-    area = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
-    return rects.join(i, (F.col(key) == F.col("__k")) & (wide * high > share * area), "left_anti")
+    """Rectangles that no image of the same page covers by more than ``share`` of their area, which is a half at least.
+
+    Such an image contains the rectangle's centre. Images are dealt to the cells of a grid that they touch, at a level where
+    a cell is as large as they are, so at most four; a centre lies in one cell of each level. Of the images in a cell, those that lie within another
+    are left out, edge by edge, so that a crowded cell has few.
+    """
+    if share < 0.5:
+        raise ValueError("an image that covers less than a half needn't contain the centre")
+    box = ["x0", "y0", "x1", "y1"]
+    size = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.lit(1e-6))
+    sized = images.select(F.col(key).alias("__k"), *[F.col(c).cast("double").alias(c) for c in box]).withColumn("__level", F.ceil(F.log2(size)).cast("int"))
+    levels = sorted(r[0] for r in sized.where("__level IS NOT NULL").select("__level").distinct().collect())  # sizes differ by 2**levels
+    left = rects.withColumns({"__x": (F.col("x0") + F.col("x1")) / 2, "__y": (F.col("y0") + F.col("y1")) / 2})
+    for level in levels:
+        cell = lambda c, level=level: F.floor(c / 2.0**level)
+        dealt = sized.where(F.col("__level") == level)
+        for low, high, name in (("x0", "x1", "__cx"), ("y0", "y1", "__cy")):
+            dealt = dealt.withColumn(name, F.explode(F.sequence(cell(F.col(low)), cell(F.col(high)))))
+        for edge in box:
+            furthest = F.min(edge) if edge in ("x0", "y0") else F.max(edge)
+            dealt = dealt.groupBy("__k", "__cx", "__cy", *[c for c in box if c != edge]).agg(furthest.alias(edge))
+        i = dealt.select("__k", "__cx", "__cy", *[F.col(c).alias(f"__i{c}") for c in box])
+        wide = F.greatest(F.lit(0.0), F.least("x1", "__ix1") - F.greatest("x0", "__ix0"))
+        high = F.greatest(F.lit(0.0), F.least("y1", "__iy1") - F.greatest("y0", "__iy0"))
+        area = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
+        here = (F.col(key) == F.col("__k")) & (cell(F.col("__x")) == F.col("__cx")) & (cell(F.col("__y")) == F.col("__cy"))
+        left = left.join(i, here & (wide * high > share * area), "left_anti")
+    return left.drop("__x", "__y")
 
 
 def merge_rects(rects: DataFrame, key: str, gap_y: float = 6.0, gap_x: float = 40.0) -> DataFrame:
-    """Rectangles in (y0, x0) order, each united with the last cluster unless it lies further than the
-    gaps from the cluster's box, which grows; so this is a fold over each page's array."""
-    box = F.struct(*[F.col(c).cast("double").alias(c) for c in ("y0", "x0", "y1", "x1")])
-    pages = rects.groupBy(key).agg(F.array_sort(F.collect_list(box)).alias("r"))
-    kind = "array<struct<y0:double,x0:double,y1:double,x1:double>>"
-
-    def step(acc: Column, r: Column) -> Column:
-        last = F.element_at(acc, -1)
-        near = (r["y0"] - last["y1"] <= gap_y) & (r["x0"] - last["x1"] <= gap_x) & (last["x0"] - r["x1"] <= gap_x)
-        one = F.struct(F.least(last["y0"], r["y0"]).alias("y0"), F.least(last["x0"], r["x0"]).alias("x0"), F.greatest(last["y1"], r["y1"]).alias("y1"), F.greatest(last["x1"], r["x1"]).alias("x1"))
-        return F.when(F.size(acc) == 0, F.array(r)).when(near, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(one))).otherwise(F.concat(acc, F.array(r)))
-
-    return pages.select(key, F.posexplode(F.aggregate("r", F.array().cast(kind), step)).alias("n", "b")).select(key, "n", "b.*")
+    """(key, n, y0, x0, y1, x1): rectangles in (y0, x0) order, each united with the last cluster unless it lies further than the
+    gaps from the cluster's box, which grows. As the box is what decides, this is a fold: rows reach a task sorted by page and
+    stream through it, with one box for a state."""
+    box = ["y0", "x0", "y1", "x1"]
+    rows = rects.select(key, *[F.col(c).cast("double").alias(c) for c in box]).dropna(subset=box)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        page, n, now, seen = None, 0, None, False
+        for batch in batches:
+            out: list[tuple] = []
+            for p, *r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if not seen or p != page:
+                    if seen:
+                        out.append((page, n, *now))
+                    page, n, now, seen = p, 0, r, True
+                elif r[0] - now[2] <= gap_y and r[1] - now[3] <= gap_x and now[1] - r[3] <= gap_x:
+                    now = [min(now[0], r[0]), min(now[1], r[1]), max(now[2], r[2]), max(now[3], r[3])]
+                else:
+                    out.append((page, n, *now))
+                    n, now = n + 1, r
+            if out:
+                yield pack(out)
+        if seen:
+            yield pack([(page, n, *now)])
+
+    def pack(out: list[tuple]) -> pa.RecordBatch:
+        kinds = [kind, pa.int64(), *[pa.float64()] * 4]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=[key, "n", *box])
+
+    kind = rows.select(key).limit(0).toArrow().schema.field(0).type
+    ordered = rows.repartition(key).sortWithinPartitions(key, *box)
+    return ordered.mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, n long, y0 double, x0 double, y1 double, x1 double")
 
 
 def option_layout(lengths: Column) -> Column:

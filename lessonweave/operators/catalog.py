@@ -94,18 +94,18 @@ def pair_by_period(files: DataFrame, keys: list[str], kinds: tuple[str, str]) ->
     )
 
 
-def prefix_lookup(wanted: DataFrame, files: DataFrame, bucket: int, kinds: list[str]) -> DataFrame:
+def prefix_lookup(wanted: DataFrame, files: DataFrame, kinds: list[str]) -> DataFrame:
     """The first file (by name) that starts with the wanted prefix and contains a kind; later kinds are
-    tried only if earlier ones find nothing.
+    tried only if earlier ones find nothing. Prefixes have any length; an empty one starts every name.
 
-    Prefixes are at least ``bucket`` characters long; their first characters are the join key, so the
-    comparison is an equi-join with a residual and not a nested loop.
+    Each file stands under its own beginning of each length that a prefix has. The best file of a beginning is an aggregate, of which
+    every task finds its own first, so that neither pairs nor frequent beginnings gather anywhere.
     """
-    w = wanted.withColumn("__b", F.substring("prefix", 1, bucket))
-    f = files.select(F.col("name"), F.substring("name", 1, bucket).alias("__b"))
+    lengths = sorted(r[0] for r in wanted.where("prefix IS NOT NULL").select(F.length("prefix")).distinct().collect())  # as many as the longest prefix has characters, at most
     rank = F.coalesce(*[F.when(F.contains("name", F.lit(k)), F.lit(i)) for i, k in enumerate(kinds)])
-    hit = w.join(f, "__b").where(F.startswith("name", "prefix")).withColumn("__r", rank).where("__r IS NOT NULL")
-    best = hit.groupBy("prefix").agg(F.min(F.struct("__r", "name")).alias("h"))
+    sizes = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("name"))
+    begun = files.select("name", rank.alias("__r")).where("__r IS NOT NULL").select("name", "__r", F.explode(sizes).alias("n"))
+    best = begun.groupBy(F.left("name", F.col("n")).alias("prefix")).agg(F.min(F.struct("__r", "name")).alias("h"))
     return wanted.join(best, "prefix", "left").select(*wanted.columns, F.col("h.name").alias("name"))
 
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lessonweave.checkpoints import durable, forget
+
 
 def line_class(text: Column, heads: list[str], boilerplate: list[str]) -> Column:
     """What a line is by how it begins and what it holds; longer headings are tried first."""
@@ -43,15 +45,29 @@ def spans_to_html(spans: DataFrame, line: str, ratio: float = 0.82, near: float
     return marked.groupBy(line).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x", "t"))), lambda s: s["t"]), "").alias("html"))
 
 
-def closure(start: DataFrame, steps: DataFrame, rounds: int) -> DataFrame:
-    """Keys that ``steps`` (a, b) reach from ``start`` (k) in at most so many rounds; only what is new in a
-    round goes on in the next."""
-    known = front = start.distinct()
-    for _ in range(rounds):
-        reached = front.join(steps, front["k"] == steps["a"]).select(F.col("b").alias("k")).distinct()
-        front = reached.join(known, "k", "left_anti")
-        known = known.unionByName(front)
-    return known
+#: So many rounds' new keys are looked up apart before they become one table.
+_KEPT_APART = 8
+
+
+def closure(start: DataFrame, steps: DataFrame) -> DataFrame:
+    """Keys that ``steps`` (a, b) reach from ``start`` (k). Only what is new in a round goes on in the next, until nothing is.
+
+    Each round's new keys are written to the checkpoint folder, so that a round reads the tables before it and no plan grows with the number of rounds.
+    """
+    front = durable(start.where("k IS NOT NULL").distinct())
+    parts = [front]
+    while not front.isEmpty():
+        new = front.join(steps, front["k"] == steps["a"]).select(F.col("b").alias("k")).where("k IS NOT NULL").distinct()
+        for part in parts:
+            new = new.join(part, "k", "left_anti")
+        front = durable(new)
+        parts.append(front)
+        if len(parts) > _KEPT_APART:
+            whole = durable(reduce(DataFrame.unionByName, parts))
+            for part in parts[:-1]:
+                forget(part)
+            parts = [whole]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def page(title: Column, body: Column) -> Column:

@@ -5,21 +5,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lessonweave.operators.scans import prefix_scan
+
 
 def forward_sections(blocks: DataFrame, doc: str, order: str, is_head: Column, title: Column) -> DataFrame:
     """Each block with the section (``sid`` from 1, ``title``) of the last heading; 0 stands before the first."""
-    w = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return blocks.withColumns({"sid": F.sum(F.when(is_head, 1).otherwise(0)).over(w), "title": F.last(F.when(is_head, title), ignorenulls=True).over(w)})
+    return prefix_scan(blocks, [doc], order, sums={"sid": F.when(is_head, 1).otherwise(0)}, lasts={"title": F.when(is_head, title)})
 
 
-def answer_zone(blocks: DataFrame, doc: str, order: Column, is_start: Column) -> DataFrame:
+def answer_zone(blocks: DataFrame, doc: str, order: str, is_start: Column) -> DataFrame:
     """``zone``: ``ans`` for blocks at or after the first start, else ``q``."""
-    every = Window.partitionBy(doc)
-    start = F.min(F.when(is_start, order)).over(every)
-    return blocks.withColumn("zone", F.when(order >= start, "ans").otherwise("q"))
+    found = prefix_scan(blocks, [doc], order, highs={"__started": is_start.cast("int")})
+    return found.withColumn("zone", F.when(F.col("__started") == 1, "ans").otherwise("q")).drop("__started")
 
 
 #: What a block begins with.

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lessonweave.operators import answers as op
+from lessonweave.operators.scans import places
 from lessonweave.plans.common import collection
 from lessonweave.sources.tables import read
 
@@ -80,16 +81,16 @@ def pending_head_attach(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH q AS (SELECT o_custkey AS doc, o_orderkey AS q, CAST(o_orderkey % 4 AS INTEGER) AS no, CAST(o_orderkey % 3 AS INTEGER) AS grp FROM orders WHERE o_orderstatus <> 'P'),
-a AS (SELECT l_suppkey AS doc, CAST(l_partkey % 4 AS INTEGER) AS no, CAST(l_partkey % 2 AS INTEGER) AS grp, CASE WHEN l_linenumber = 3 THEN ' ' ELSE l_returnflag || l_partkey END AS body FROM lineitem WHERE l_quantity > 45),
+WITH q AS (SELECT o_custkey AS doc, o_orderkey AS q, CAST(o_orderkey % 4 AS INTEGER) AS no, CAST(o_orderkey % 3 AS INTEGER) AS grp FROM orders),
+a AS (SELECT l_suppkey AS doc, CAST(l_partkey % 4 AS INTEGER) AS no, CAST(l_partkey % 2 AS INTEGER) AS grp, CASE WHEN l_linenumber = 3 THEN ' ' ELSE l_returnflag || l_partkey END AS body FROM lineitem),
 x AS (SELECT doc, no, grp, min(body) AS body FROM a WHERE trim(body) <> '' GROUP BY 1, 2, 3)
 SELECT q.doc, q.no, q.grp, q.q, coalesce(e.body, p.body) AS body
 FROM q LEFT JOIN x e ON e.doc = q.doc AND e.no = q.no AND e.grp = q.grp LEFT JOIN x p ON p.doc = q.doc AND p.no = q.no AND p.grp = 0
 """)
 def double_key_coalesce(spark: SparkSession, d: str) -> DataFrame:
-    q = read(spark, d, "orders").where("o_orderstatus <> 'P'").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("q"), (F.col("o_orderkey") % 4).cast("int").alias("no"), (F.col("o_orderkey") % 3).cast("int").alias("grp"))
+    q = read(spark, d, "orders").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("q"), (F.col("o_orderkey") % 4).cast("int").alias("no"), (F.col("o_orderkey") % 3).cast("int").alias("grp"))
     body = F.when(F.col("l_linenumber") == 3, " ").otherwise(F.concat("l_returnflag", F.col("l_partkey").cast("string")))
-    a = read(spark, d, "lineitem").where("l_quantity > 45").select(F.col("l_suppkey").alias("doc"), (F.col("l_partkey") % 4).cast("int").alias("no"), (F.col("l_partkey") % 2).cast("int").alias("grp"), body.alias("body"))
+    a = read(spark, d, "lineitem").select(F.col("l_suppkey").alias("doc"), (F.col("l_partkey") % 4).cast("int").alias("no"), (F.col("l_partkey") % 2).cast("int").alias("grp"), body.alias("body"))
     return op.double_lookup(q, a)
 
 
@@ -194,4 +195,4 @@ SELECT conv_id AS doc, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS
 def labelled_questions(spark: SparkSession, d: str) -> DataFrame:
     c = read(spark, d, "conversations").select("conv_id", "turn", "role")
     asked = c.where("role = 'user'").join(c.where("role = 'system'").select("conv_id"), "conv_id", "left_semi")
-    return asked.select(F.col("conv_id").alias("doc"), F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")).cast("long").alias("no"), "turn")
+    return places(asked.select(F.col("conv_id").alias("doc"), "turn"), ["doc"], "turn", "no").select("doc", "no", "turn")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lessonweave.operators import catalog as op
+from lessonweave.operators.scans import places
 from lessonweave.plans.common import collection
 from lessonweave.sources.tables import read
 
@@ -28,9 +29,9 @@ def tree_flatten(spark: SparkSession, d: str) -> DataFrame:
     roots = roots.select(F.concat(F.lit("R"), F.col("r_regionkey")).alias("id"), F.col("r_name").alias("title"), (F.col("r_regionkey") + 1).alias("ord"), "kids")
     top = op.flatten_tree(roots, "id", "title", "kids")
     leaves = read(spark, d, "customer").join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    order = Window.partitionBy("c_nationkey").orderBy("c_custkey")
+    leaves = places(leaves, ["c_nationkey"], "c_custkey", "place")
     leaves = leaves.select(
-        F.concat(F.lit("C"), F.col("c_custkey")).alias("node_id"), F.concat(F.lit("N"), F.col("c_nationkey")).alias("parent_id"), F.row_number().over(order).alias("ord"), F.lit(2).alias("depth"),
+        F.concat(F.lit("C"), F.col("c_custkey")).alias("node_id"), F.concat(F.lit("N"), F.col("c_nationkey")).alias("parent_id"), F.col("place").cast("int").alias("ord"), F.lit(2).alias("depth"),
         F.col("c_name").alias("title"), F.concat(F.lit("R"), F.col("n_regionkey"), F.lit("/N"), F.col("c_nationkey"), F.lit("/C"), F.col("c_custkey")).alias("node_path"),
     )
     return top.unionByName(leaves)
@@ -143,7 +144,7 @@ def folder_route_case(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT doc_id, lang, source, n_chars FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1")
 def first_wins_documents(spark: SparkSession, d: str) -> DataFrame:
-    docs = read(spark, d, "documents").withColumn("key", F.sha2(F.coalesce("text", F.lit("")), 256))
+    docs = read(spark, d, "documents").withColumn("key", F.sha2("text", 256))
     return op.first_wins(docs.select("key", "doc_id", "lang", "source", "n_chars"), ["key"], ["doc_id"]).drop("key")
 
 
@@ -210,7 +211,7 @@ def pair_by_period(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH w AS (SELECT DISTINCT split_part(p_name, ' ', 1) || ' ' AS prefix FROM part WHERE length(split_part(p_name, ' ', 1)) >= 3),
+WITH w AS (SELECT DISTINCT split_part(p_name, ' ', 1) || ' ' AS prefix FROM part UNION SELECT DISTINCT p_name FROM part UNION SELECT DISTINCT left(p_name, 1) FROM part),
 h AS (
   SELECT prefix, p_name || '#' || p_partkey || p_type AS name, CASE WHEN contains(p_name || '#' || p_partkey || p_type, 'STEEL') THEN 0 WHEN contains(p_name || '#' || p_partkey || p_type, 'BRASS') THEN 1 END AS r
   FROM w JOIN part ON starts_with(p_name || '#' || p_partkey || p_type, prefix)
@@ -220,9 +221,9 @@ SELECT w.prefix, (SELECT name FROM h WHERE h.prefix = w.prefix AND r IS NOT NULL
 def prefix_lookup_fallback(spark: SparkSession, d: str) -> DataFrame:
     part = read(spark, d, "part")
     first = F.split_part("p_name", F.lit(" "), F.lit(1))
-    wanted = part.where(F.length(first) >= 3).select(F.concat(first, F.lit(" ")).alias("prefix")).distinct()
+    wanted = part.select(F.explode(F.array(F.concat(first, F.lit(" ")), F.col("p_name"), F.left("p_name", F.lit(1)))).alias("prefix")).distinct()
     files = part.select(F.concat("p_name", F.lit("#"), F.col("p_partkey").cast("string"), "p_type").alias("name"))
-    return op.prefix_lookup(wanted, files, 3, ["STEEL", "BRASS"])
+    return op.prefix_lookup(wanted, files, ["STEEL", "BRASS"])
 
 
 @query("""

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lessonweave.functions import text as fn
 from lessonweave.operators import markup as op
+from lessonweave.operators.scans import prefix_scan
 from lessonweave.plans.common import collection
 from lessonweave.sources.tables import read
 
@@ -45,18 +46,18 @@ def question_predicates(spark: SparkSession, d: str) -> DataFrame:
 )
 def lookbehind_body(spark: SparkSession, d: str) -> DataFrame:
     bar = F.contains("text", F.lit("|"))
-    before = F.coalesce(F.lag(bar).over(Window.partitionBy("doc_id").orderBy("idx")), F.lit(False))
-    return lines(spark, d).select("doc_id", "idx", (before & ~bar).alias("after_options"))
+    rows = prefix_scan(lines(spark, d), ["doc_id"], "idx", lags={"before": bar})
+    return rows.select("doc_id", "idx", (F.coalesce("before", F.lit(False)) & ~bar).alias("after_options"))
 
 
 @query(r"""
-WITH t AS (SELECT l_orderkey, string_agg(l_linenumber || CASE l_returnflag WHEN 'R' THEN 'AB' WHEN 'A' THEN 'C' ELSE 'D' END, ' ' ORDER BY l_linenumber, l_partkey, l_suppkey) AS t FROM lineitem WHERE l_linenumber < 10 GROUP BY 1),
+WITH t AS (SELECT l_orderkey, string_agg(l_linenumber || CASE l_returnflag WHEN 'R' THEN 'AB' WHEN 'A' THEN 'C' ELSE 'D' END, ' ' ORDER BY l_linenumber, l_partkey, l_suppkey) AS t FROM lineitem GROUP BY 1),
 p AS (SELECT l_orderkey, regexp_extract_all(t, '(\d+)([A-H]+)', 1) AS n, regexp_extract_all(t, '(\d+)([A-H]+)', 2) AS a FROM t)
 SELECT l_orderkey, CAST(unnest(n) AS INTEGER) AS no, unnest(a) AS answer, CAST(unnest(generate_series(0, len(n) - 1)) AS INTEGER) AS pos FROM p WHERE len(n) >= 2
 """)
 def inline_pairs(spark: SparkSession, d: str) -> DataFrame:
     own = F.concat(F.col("l_linenumber").cast("string"), F.when(F.col("l_returnflag") == "R", "AB").when(F.col("l_returnflag") == "A", "C").otherwise("D"))
-    texts = read(spark, d, "lineitem").where("l_linenumber < 10").groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", own.alias("t")))), lambda x: x["t"]), " ").alias("t"))
+    texts = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", own.alias("t")))), lambda x: x["t"]), " ").alias("t"))
     return texts.select("l_orderkey", F.posexplode(op.answer_pairs(F.col("t"))).alias("pos", "p")).select("l_orderkey", "p.no", "p.answer", "pos")
 
 
@@ -73,15 +74,15 @@ def span_html(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 WITH RECURSIVE r AS (
-  SELECT p_partkey AS k, 0 AS round FROM part WHERE p_partkey % 200 = 1
-  UNION SELECT p.p_partkey, round + 1 FROM r JOIN part p ON p.p_partkey IN (r.k + 7, r.k * 2) WHERE round < 5
+  SELECT p_partkey AS k FROM part WHERE p_partkey % 200 = 1
+  UNION SELECT p.p_partkey FROM r JOIN part p ON p.p_partkey IN (r.k * 2, r.k * 3 + 1)
 )
-SELECT DISTINCT k FROM r
+SELECT k FROM r
 """)
 def closure_rounds(spark: SparkSession, d: str) -> DataFrame:
     keys = read(spark, d, "part").select(F.col("p_partkey").alias("k"))
-    steps = keys.select(F.col("k").alias("a"), F.explode(F.array(F.col("k") + 7, F.col("k") * 2)).alias("b")).join(keys.withColumnRenamed("k", "b"), "b", "left_semi")
-    return op.closure(keys.where("k % 200 = 1"), steps, 5)
+    steps = keys.select(F.col("k").alias("a"), F.explode(F.array(F.col("k") * 2, F.col("k") * 3 + 1)).alias("b")).join(keys.withColumnRenamed("k", "b"), "b", "left_semi")
+    return op.closure(keys.where("k % 200 = 1"), steps)
 
 
 @query("""

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lessonweave.operators import blocks as op
 from lessonweave.operators import sections as sec
 from lessonweave.operators.catalog import global_places
+from lessonweave.operators.scans import in_ranges, places, prefix_scan
 from lessonweave.plans.common import collection
 from lessonweave.sources.tables import read
 
@@ -42,9 +43,10 @@ p AS (SELECT *, sum(b) OVER (PARTITION BY doc_id ORDER BY idx ROWS UNBOUNDED PRE
 SELECT doc_id, CAST(n AS BIGINT) AS sentence, string_agg(text, ' ' ORDER BY idx) AS text FROM p GROUP BY 1, 2"""
 )
 def sentence_flow(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("doc_id").orderBy("idx")
-    marked = lines(spark, d).withColumn("b", F.coalesce(F.lag("text").over(w).rlike("[.!?]$") & ~F.col("text").rlike("^[,;)]"), F.lit(False)))
-    cut = op.islands(marked, ["doc_id"], ["idx"], F.col("b"), "sentence")
+    ranged, split = in_ranges(lines(spark, d), ["doc_id"], "idx")
+    before = prefix_scan(ranged, ["doc_id"], "idx", lags={"before": F.col("text")}, cut=split)
+    ends = F.coalesce(F.col("before").rlike("[.!?]$") & ~F.col("text").rlike("^[,;)]"), F.lit(False))
+    cut = prefix_scan(before, ["doc_id"], "idx", sums={"sentence": ends.cast("int")}, cut=split)
     return cut.groupBy("doc_id", "sentence").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "text"))), lambda x: x["text"]), " ").alias("text"))
 
 
@@ -55,8 +57,7 @@ def sentence_flow(spark: SparkSession, d: str) -> DataFrame:
 )
 def lookahead_options(spark: SparkSession, d: str) -> DataFrame:
     rows = lines(spark, d)
-    ahead = lambda what, n: op.followed_by(rows, ["doc_id"], ["idx"], what, n)
-    return rows.select("doc_id", "idx", ahead(F.contains("text", F.lit("|")), 4).alias("option_ahead"), ahead(F.length("text") < 20, 2).alias("sub_ahead"))
+    return op.followed_by(rows, ["doc_id"], ["idx"], {"option_ahead": (F.contains("text", F.lit("|")), 4), "sub_ahead": (F.length("text") < 20, 2)}).drop("text")
 
 
 @query("""
@@ -78,17 +79,17 @@ def group_counter(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT p_name, p_partkey, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) - 1 AS k FROM part")
 def occurrence_ordinal(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "part").select("p_name", "p_partkey", (F.row_number().over(Window.partitionBy("p_name").orderBy("p_partkey")) - 1).cast("long").alias("k"))
+    return places(read(spark, d, "part").select("p_name", "p_partkey"), ["p_name"], "p_partkey", "k").withColumn("k", F.col("k") - 1)
 
 
 @query(r"""
-WITH t AS (SELECT l_orderkey, string_agg((l_linenumber) || '．' || l_partkey || '.5 V', ' ' ORDER BY l_linenumber, l_partkey, l_suppkey) AS t FROM lineitem WHERE l_linenumber < 10 GROUP BY 1),
+WITH t AS (SELECT l_orderkey, string_agg((l_linenumber) || '．' || l_partkey || '.5 V', ' ' ORDER BY l_linenumber, l_partkey, l_suppkey) AS t FROM lineitem GROUP BY 1),
 m AS (SELECT l_orderkey, regexp_extract_all(t, '(\d+)．', 1) AS ns, string_split(regexp_replace(t, '\d+．', '§', 'g'), '§') AS bs FROM t)
 SELECT l_orderkey, CAST(unnest(ns) AS INTEGER) AS no, trim(unnest(bs[2:])) AS body, CAST(unnest(generate_series(0, len(ns) - 1)) AS INTEGER) AS pos FROM m
 """)
 def marker_slices(spark: SparkSession, d: str) -> DataFrame:
     piece = F.concat(F.col("l_linenumber").cast("string"), F.lit("．"), F.col("l_partkey").cast("string"), F.lit(".5 V"))
-    texts = read(spark, d, "lineitem").where("l_linenumber < 10").groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", piece.alias("t")))), lambda x: x["t"]), " ").alias("t"))
+    texts = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", piece.alias("t")))), lambda x: x["t"]), " ").alias("t"))
     cut = texts.select("l_orderkey", F.posexplode(op.marker_slices(F.col("t"), "(\\d+)．")).alias("pos", "s"))
     return cut.select("l_orderkey", "s.no", "s.body", "pos")
 
@@ -149,7 +150,16 @@ def rect_overlap_anti(spark: SparkSession, d: str) -> DataFrame:
     return op.uncovered(vector, r.where("s % 2 = 0"), "page").select("page", "line", "k", "s")
 
 
-@query()
+@query(
+    _RECTS.replace("WITH", "WITH RECURSIVE", 1)
+    + """, o AS (SELECT page, CAST(y0 AS DOUBLE) AS y0, CAST(x0 AS DOUBLE) AS x0, CAST(y1 AS DOUBLE) AS y1, CAST(x1 AS DOUBLE) AS x1, row_number() OVER (PARTITION BY page ORDER BY y0, x0, y1, x1) AS i FROM r),
+f AS (
+  SELECT page, i, CAST(0 AS BIGINT) AS n, y0, x0, y1, x1 FROM o WHERE i = 1
+  UNION ALL SELECT o.page, o.i, CASE WHEN near THEN n ELSE n + 1 END, CASE WHEN near THEN least(fy0, o.y0) ELSE o.y0 END, CASE WHEN near THEN least(fx0, o.x0) ELSE o.x0 END, CASE WHEN near THEN greatest(fy1, o.y1) ELSE o.y1 END, CASE WHEN near THEN greatest(fx1, o.x1) ELSE o.x1 END
+  FROM (SELECT f.n, f.y0 AS fy0, f.x0 AS fx0, f.y1 AS fy1, f.x1 AS fx1, o.*, o.y0 - f.y1 <= 6 AND o.x0 - f.x1 <= 40 AND f.x0 - o.x1 <= 40 AS near FROM f JOIN o ON o.page = f.page AND o.i = f.i + 1) o
+)
+SELECT page, n, y0, x0, y1, x1 FROM f QUALIFY row_number() OVER (PARTITION BY page, n ORDER BY i DESC) = 1"""
+)
 def rect_fold_merge(spark: SparkSession, d: str) -> DataFrame:
     return op.merge_rects(rects(spark, d), "page")
 
@@ -158,8 +168,8 @@ def rect_fold_merge(spark: SparkSession, d: str) -> DataFrame:
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY round_even(l_quantity / 2, 0), l_returnflag, l_partkey, l_suppkey, l_linenumber) AS place FROM lineitem
 """)
 def halfeven_sort(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("l_orderkey").orderBy(F.bround(F.col("l_quantity") / 2), "l_returnflag", "l_partkey", "l_suppkey", "l_linenumber")
-    return read(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.row_number().over(w).cast("long").alias("place"))
+    rows = read(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", F.bround(F.col("l_quantity") / 2).alias("y"))
+    return places(rows, ["l_orderkey"], ["y", "l_returnflag", "l_partkey", "l_suppkey", "l_linenumber"], "place").drop("l_returnflag", "y")
 
 
 @query(
@@ -178,7 +188,7 @@ def worksheet_sections(spark: SparkSession, d: str) -> DataFrame:
 SELECT doc_id, idx, CASE WHEN idx >= start THEN 'ans' ELSE 'q' END AS zone FROM lines JOIN z USING (doc_id)"""
 )
 def exercise_sections(spark: SparkSession, d: str) -> DataFrame:
-    return sec.answer_zone(lines(spark, d), "doc_id", F.col("idx"), F.contains("text", F.lit("|"))).select("doc_id", "idx", "zone")
+    return sec.answer_zone(lines(spark, d), "doc_id", "idx", F.contains("text", F.lit("|"))).select("doc_id", "idx", "zone")
 
 
 @query(
@@ -188,8 +198,8 @@ SELECT doc_id, NOT bool_or(head) AND (count(*) FILTER (mark) >= 3 OR count(*) FI
 )
 def doc_type_detect(spark: SparkSession, d: str) -> DataFrame:
     rows = lines(spark, d)
-    ahead = op.followed_by(rows, ["doc_id"], ["idx"], F.contains("text", F.lit("th")), 2)
-    marked = rows.select("doc_id", (F.length("text") < 15).alias("head"), F.col("text").rlike(r"!!|\|").alias("mark"), (F.contains("text", F.lit(",")) & ahead).alias("pair"))
+    rows = op.followed_by(rows, ["doc_id"], ["idx"], {"ahead": (F.contains("text", F.lit("th")), 2)})
+    marked = rows.select("doc_id", (F.length("text") < 15).alias("head"), F.col("text").rlike(r"!!|\|").alias("mark"), (F.contains("text", F.lit(",")) & F.col("ahead")).alias("pair"))
     return marked.groupBy("doc_id").agg((~F.bool_or("head") & ((F.count_if("mark") >= 3) | (F.count_if("pair") >= 3))).alias("exercise"))
 
 
@@ -203,10 +213,10 @@ SELECT doc, idx, CAST(sid AS INTEGER) AS sid, CASE now WHEN 'h' THEN 'h' WHEN 'q
 """)
 def sectionizer_fold(spark: SparkSession, d: str) -> DataFrame:
     """Conversations as numbered blocks: the system's turn is a heading, users ask, assistants answer."""
-    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    asked = F.sum((F.col("role") == "user").cast("int")).over(w)
+    turns = prefix_scan(read(spark, d, "conversations"), ["conv_id"], "turn", sums={"asked": (F.col("role") == "user").cast("int")})
+    asked = F.col("asked")
     head = F.when(F.col("role") == "system", "课后练习 ").when(F.col("role") == "user", F.concat(asked.cast("string"), F.lit("．"))).otherwise("【答案】")
-    return sec.sectionize(read(spark, d, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("idx"), F.concat(head, "text").alias("text")))
+    return sec.sectionize(turns.select(F.col("conv_id").alias("doc"), F.col("turn").alias("idx"), F.concat(head, "text").alias("text")))
 
 
 @query(
@@ -232,7 +242,7 @@ def deck_plan(spark: SparkSession, d: str) -> DataFrame:
     c = read(spark, d, "conversations").select("conv_id", "turn", "role")
     branch = lambda role, n: c.where(F.col("role") == role).withColumn("branch", F.lit(n))
     every = branch("system", 0).unionByName(branch("user", 1)).unionByName(branch("assistant", 2))
-    return every.select("conv_id", F.row_number().over(Window.partitionBy("conv_id").orderBy("branch", "turn")).cast("long").alias("slide"), "turn", "role")
+    return places(every, ["conv_id"], ["branch", "turn"], "slide").select("conv_id", "slide", "turn", "role")
 
 
 @query("""
@@ -240,9 +250,8 @@ WITH f AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER B
 SELECT f.conv_id, f.turn AS figure, s.turn AS space FROM f JOIN s USING (conv_id, k)
 """)
 def figure_space_pairs(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("conv_id").orderBy("turn")
     c = read(spark, d, "conversations").select("conv_id", "turn", "role")
-    ranked = lambda role, name: c.where(F.col("role") == role).select("conv_id", F.col("turn").alias(name), F.row_number().over(w).alias("k"))
+    ranked = lambda role, name: places(c.where(F.col("role") == role).select("conv_id", F.col("turn").alias(name)), ["conv_id"], name, "k")
     return ranked("user", "figure").join(ranked("assistant", "space"), ["conv_id", "k"]).drop("k")
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lessonweave.functions import text as fn
+from lessonweave.operators.scans import places
 from lessonweave.plans.common import collection
 from lessonweave.sources.tables import read
 
@@ -138,8 +139,8 @@ FROM t GROUP BY conv_id
 
 @query(_SRT)
 def srt_format(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    rows = read(spark, d, "conversations").where(F.trim("text") != "").select("conv_id", "turn", (F.col("turn") * 3.25 + F.col("conv_id") % 7 / 16.0).alias("a"), F.regexp_replace("text", r"\s+", " ").alias("text"), F.row_number().over(w).alias("n"))
+    rows = read(spark, d, "conversations").where(F.trim("text") != "").select("conv_id", "turn", (F.col("turn") * 3.25 + F.col("conv_id") % 7 / 16.0).alias("a"), F.regexp_replace("text", r"\s+", " ").alias("text"))
+    rows = places(rows, ["conv_id"], "turn", "n")
     block = F.concat(F.col("n").cast("string"), F.lit("\n"), fn.timestamp_srt(F.col("a")), F.lit(" --> "), fn.timestamp_srt(F.col("a") + 3), F.lit("\n"), "text")
     blocks = F.array_sort(F.collect_list(F.struct("n", block.alias("b"))))
     return rows.groupBy("conv_id").agg(F.array_join(F.transform(blocks, lambda x: x["b"]), "\n\n").alias("srt"))
