@@ -8,7 +8,10 @@ are the places that each extension leads to, so the runs of equal words and inte
 their lengths the counts. Counts of all shards are added up by Spark; where a long piece is cut between shards, they
 overlap by a phrase less a word, and what lies in the overlap is counted off again.
 
-Everything after the sums rests on phrases with at least the least count, as no candidate has a rarer part.
+Everything after the sums rests on phrases with at least the least count, as no candidate has a rarer part. So longer
+phrases are looked for in passes: words and pairs first, then each length with only those phrases extended whose parts, one word
+shorter, have the count. Shards know these by a bit table of hashes, whose size is a parameter: what it lets through beyond
+them is counted and dropped later, so that a full table costs time and never a phrase.
 
 Defined cases: a null text is empty; a null language is ``und``; texts without words add nothing; repeated rows count as
 often as they occur; ties of the score are settled by count, then by the phrase's bytes.
@@ -21,9 +24,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lessonweave.llm.bytewords import mix
 from lessonweave.llm.common import durable, flat_text, in_arrow, spans_of_rows
 
 LONGEST, LEAST, COVERED, TOP = 3, 10, 50, 2000
@@ -31,6 +36,8 @@ LONGEST, LEAST, COVERED, TOP = 3, 10, 50, 2000
 SHARD_WORDS, SHARD_BYTES = 1 << 20, 1 << 23
 #: Tasks that find the best of a language before one does.
 PARTS_OF_TOP = 16
+#: 64-bit slots of the table of frequent phrases: 8 MB.
+SLOTS = 1 << 20
 #: A side is broadcast up to so many rows.
 SMALL = 200_000
 
@@ -151,28 +158,93 @@ def shards(ids: np.ndarray, begins: np.ndarray, size: int, longest: int):
         lo = hi
 
 
-def counted(ids: np.ndarray, longest: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each length, the ids (phrase, word) and the counts of all phrases of a shard."""
+def counted(ids: np.ndarray, longest: int, often=None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each length, the ids (phrase, word) and the counts of all phrases of a shard. With ``often``, which tells the phrases whose
+    count may suffice, only those of one word less than the longest are extended, and only phrases of which both ends are such."""
     index = WordIndex(ids, longest)
-    found = [index.words()]
-    spelled = [found[0].word[:, None]]
+    p = index.words()
+    spelled = p.word[:, None]
+    found = [(spelled, p.count)]
     for k in range(1, longest):
+        if often and k == longest - 1:
+            kept = often(spelled)
+            p, spelled = Phrases(*(x[kept] for x in (p.left, p.right, p.count, p.word, p.parent))), spelled[kept]
         # In turn, so that both directions are narrowed.
         left = k % 2 == 1
-        p = index.extend_left(found[-1]) if left else index.extend_right(found[-1])
-        before = spelled[-1][p.parent]
-        spelled.append(np.hstack((p.word[:, None], before) if left else (before, p.word[:, None])))
-        found.append(p)
-    return [(s[p.count > 0], p.count[p.count > 0]) for s, p in zip(spelled, found, strict=True)]
+        p = index.extend_left(p) if left else index.extend_right(p)
+        before = spelled[p.parent]
+        spelled = np.hstack((p.word[:, None], before) if left else (before, p.word[:, None]))
+        found.append((spelled, p.count))
+    found = [(s[c > 0], c[c > 0]) for s, c in found]
+    if often:
+        s, c = found[-1]
+        kept = often(s[:, :-1]) & often(s[:, 1:])
+        found[-1] = s[kept], c[kept]
+    return found
+
+
+class BitTable:
+    """Which hashes were put in: two bits for each."""
+
+    def __init__(self, masks: np.ndarray):
+        self.masks = masks
+
+    @staticmethod
+    def places(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Both (slot, mask) of each hash; slots have 64 bits."""
+        both = np.concatenate((h, mix(h ^ np.uint64(0x9E3779B97F4A7C15))))
+        return (both >> np.uint64(6)).astype(np.int64) % size, np.uint64(1) << (both & np.uint64(63))
+
+    def holds(self, h: np.ndarray) -> np.ndarray:
+        slot, mask = self.places(h, len(self.masks))
+        return ((self.masks[slot] & mask) != 0).reshape(2, -1).all(axis=0)
+
+
+def _hashes(words: list[str], salt: str) -> np.ndarray:
+    seed = xxhash.xxh64_intdigest(salt)
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+
+
+def _hash_of(words: np.ndarray) -> np.ndarray:
+    """A hash of each row of words' hashes, in order."""
+    with np.errstate(over="ignore"):
+        out = np.zeros(len(words), np.uint64)
+        for column in words.T:
+            out = mix(out * np.uint64(0x9E3779B97F4A7C15) + column)
+    return out
+
+
+def bit_table(phrases: DataFrame, slots: int = SLOTS) -> BitTable:
+    """The table of phrases (lang, phrase) of one length. Each task sets the bits of its own; they are joined by slot."""
+
+    def run(batches):
+        masks = np.zeros(slots, np.uint64)
+        for batch in batches:
+            for lang in set(batch.column(0).to_pylist()):
+                own = [p.split(" ") for x, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if x == lang]
+                flat = _hashes([w for p in own for w in p], lang)
+                slot, mask = BitTable.places(_hash_of(flat.reshape(len(own), -1)), slots)
+                np.bitwise_or.at(masks, slot, mask)
+        used = np.flatnonzero(masks)
+        if len(used):
+            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(masks[used].view(np.int64))], names=["slot", "mask"])
+
+    masks = np.zeros(slots, np.int64)
+    found = in_arrow(phrases.select("lang", "phrase"), run, "slot int, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+    masks[found.column("slot").to_numpy()] = found.column("mask").to_numpy()
+    return BitTable(masks.view(np.uint64))
 
 
 def _written(words: pa.Array, spelled: np.ndarray) -> pa.Array:
     return pc.binary_join_element_wise(*[words.take(pa.array(c - 1)) for c in spelled.T], pa.scalar(" ", pa.large_string()))
 
 
-def phrase_counts(documents: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST) -> DataFrame:
-    """(lang, phrase, f) of all phrases of up to ``longest`` words; with a null phrase, the count of all words."""
+def phrase_counts(documents: DataFrame, sizes: list[int], table: BitTable | None = None, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, phrase, f) of all phrases with so many words; with a null phrase, the count of all words, if one-word phrases are wanted.
+    With ``table``, only phrases of which it may hold both ends."""
     rows = documents.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    longest = max(sizes)
+    known = rows.sparkSession.sparkContext.broadcast(table.masks) if table else None  # of a fixed size
 
     def rows_of(lang, words: pa.Array, spelled: np.ndarray, count: np.ndarray):
         for lo in range(0, len(count), 100_000):
@@ -180,6 +252,24 @@ def phrase_counts(documents: DataFrame, text: str = "text", lang: str = "lang",
             phrase = _written(words, spelled[at]).cast(pa.string())
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrase), pa.string()), phrase, pa.array(count[at], pa.int64())], names=["lang", "phrase", "f"])
 
+    def shard_rows(name, words: pa.Array, own: np.ndarray, begins: np.ndarray):
+        if 1 in sizes:
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([None], pa.string()), pa.array([len(own)], pa.int64())], names=["lang", "phrase", "f"])
+        for shard, again in shards(own, begins, SHARD_WORDS, longest):
+            used, local = np.unique(shard, return_inverse=True)
+            often = None
+            if known:
+                hashed = np.zeros(len(used), np.uint64)
+                hashed[1:] = _hashes(words.take(pa.array(used[1:] - 1)).to_pylist(), name)
+                bits = BitTable(known.value)
+                often = lambda spelled, hashed=hashed, bits=bits: bits.holds(_hash_of(hashed[spelled]))
+            for spelled, count in counted(local, longest, often):
+                if spelled.shape[1] in sizes:
+                    yield from rows_of(name, words, used[spelled], count)
+            for size in (k for k in sizes if k <= len(again)):
+                twice = np.lib.stride_tricks.sliding_window_view(again, size)
+                yield from rows_of(name, words, twice, np.full(len(twice), -1))
+
     def run(batches):
         for batch in batches:
             data, offsets = flat_text(batch.column(1))
@@ -188,20 +278,23 @@ def phrase_counts(documents: DataFrame, text: str = "text", lang: str = "lang",
                 words, ids, row, begins = words_of(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 of = np.asarray(langs.indices)[lo:hi][row]
                 for k in np.unique(of):
-                    name = langs.dictionary[int(k)].as_py()
-                    own = ids[of == k]
-                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([None], pa.string()), pa.array([len(own)], pa.int64())], names=["lang", "phrase", "f"])
-                    for shard, again in shards(own, begins[of == k], SHARD_WORDS, longest):
-                        used, local = np.unique(shard, return_inverse=True)
-                        for spelled, count in counted(local, longest):
-                            yield from rows_of(name, words, used[spelled], count)
-                        for size in range(1, len(again) + 1):
-                            twice = np.lib.stride_tricks.sliding_window_view(again, size)
-                            yield from rows_of(name, words, twice, np.full(len(twice), -1))
+                    yield from shard_rows(langs.dictionary[int(k)].as_py(), words, ids[of == k], begins[of == k])
 
     return in_arrow(rows, run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
+def frequent_phrases(documents: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST) -> DataFrame:
+    """(lang, phrase, f) of phrases with at least the least count; with a null phrase, the count of all words."""
+    size = F.size(F.split("phrase", " "))
+    found = durable(phrase_counts(documents, [1, 2] if longest > 1 else [1], None, text, lang).where((F.col("f") >= least) | F.col("phrase").isNull()))
+    level = found
+    for k in range(3, longest + 1):
+        table = bit_table(level.where(F.col("phrase").isNotNull() & (size == k - 1)))
+        level = durable(phrase_counts(documents, [k], table, text, lang).where(F.col("f") >= least))
+        found = found.unionByName(level)
+    return found
+
+
 def _parts(words: Column, k: Column) -> tuple[Column, Column]:
     return F.array_join(F.slice(words, F.lit(1), k), " "), F.array_join(F.slice(words, k + 1, F.size(words)), " ")
 
@@ -213,7 +306,7 @@ def _joined(large: DataFrame, small: DataFrame, few: bool, on: list[str], how: s
 def collocations(documents: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST, covered: int = COVERED) -> DataFrame:
     """(lang, phrase, a, l, r, n, score) of all candidates that no longer one covers: phrases of 2 to ``longest`` words with a
     count of ``least`` or more; of the ways to cut one in two, the lowest-scoring counts."""
-    counts = durable(phrase_counts(documents, text, lang, longest).where((F.col("f") >= least) | F.col("phrase").isNull()))
+    counts = frequent_phrases(documents, text, lang, longest, least)
     total = counts.where("phrase IS NULL").select("lang", F.col("f").alias("n"))  # a row for each language
     some = counts.where("phrase IS NOT NULL")
     few = some.count() <= SMALL
