@@ -2,29 +2,13 @@
 
 from __future__ import annotations
 
-import html as html_lib
-import re
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from lessonweave.functions.mathx import latex_to_html
 
-#: What an answer line begins with, after its number.
-ANSWER_LINE = r"^\d{1,2}\s*[.．、]\s*([A-D]{1,4}\b|[-−+]?\d+(\.\d+)?|[(（]\d{1,2}[)）]|\\?[A-Za-z_$]|\$|[由因解答故选设当若则]|根据)"
 ANSWER_MARK, EXERCISE_TITLE, QUESTION_NUMBER = "答案", "课后练习", r"^\d{1,2}\s*[.．、]"
-#: What stays in front of a question's number: pictures and empty inline elements.
-LEAD = r"(?:\s|<img[^>]*>|<(?:sub|sup|i|b|em|strong|span)[^>]*>\s*</(?:sub|sup|i|b|em|strong|span)>)*"
 SPACES = r"[\s\x{3000}]+"
 
 
-def is_answer_line(text: Column) -> Column:
-    """Whether a line looks like a number with its answer, not like a question."""
-    return F.trim(text).rlike(ANSWER_LINE)
-
-
 def lesson_key(title: Column) -> Column:
     """A title with single ASCII spaces."""
     return F.trim(F.regexp_replace(F.coalesce(title, F.lit("")), SPACES, " "))
@@ -35,9 +19,9 @@ def spaceless(title: Column) -> Column:
 
 
 def document_name(path: Column) -> Column:
-    """A file's name without folder, extension, spaces and the number of a copy."""
-    name = F.regexp_replace(F.regexp_extract(F.coalesce(path, F.lit("")), "([^/]*)$", 1), r"(.)\.[^.]*$", "$1")
-    return F.regexp_replace(spaceless(name), r"\(\d+\)$", "")
+    """A file's name without folder, extension, spaces and the number of a copy; what is only an extension stays."""
+    own = F.element_at(F.split(spaceless(path), "/"), -1)
+    return F.regexp_extract(own, r"^(.*?.?)(?:\([0-9]+\))?(?:(?<=.)\.[^.]*)?$", 1)
 
 
 def picture_kind(target: Column) -> Column:
@@ -50,80 +34,13 @@ def picture_text(target: Column) -> Column:
 
 
 def without_number(html: Column) -> Column:
-    """Markup without the question's number; pictures and empty elements before it stay. Without a number, it stays as it is."""
-    return F.trim(F.regexp_replace(html, rf"^({LEAD})\d{{1,2}}\s*[.．、]\s*", "$1"))
-
-
-def end_of_div(html: Column) -> Column:
-    """Where the first div ends, counted from 0 behind its end tag; null without a div that is closed."""
-    tag = r"<div[^>]*>|</div>"
-    tags, gaps = F.regexp_extract_all(html, F.lit(tag), F.lit(0)), F.split(html, tag, -1)
-    pairs = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(tags)).alias("gap"), tags.alias("tag"))
-    state = "struct<at:int,depth:int,end:int>"
-
-    def step(s: Column, x: Column) -> Column:
-        at = s["at"] + F.length(x["gap"]) + F.length(x["tag"])
-        opens = F.startswith(x["tag"], F.lit("<div"))
-        depth = F.when(opens, s["depth"] + 1).when(s["depth"] > 0, s["depth"] - 1).otherwise(0)
-        end = F.coalesce(s["end"], F.when(~opens & (s["depth"] == 1), at))
-        return F.struct(at.alias("at"), depth.alias("depth"), end.alias("end")).cast(state)
-
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(None).alias("end")).cast(state), step)["end"]
+    """Markup without the question's number. Before it stand pictures, elements with nothing in them, and white space, which stay; with anything else before it, or
+    no number, the markup stays as it is."""
+    nothing = r"(?:\s|<img[^>]*>|<(\w+)[^>]*>\s*</\2>)*"
+    return F.trim(F.regexp_replace(html, rf"^({nothing})\d{{1,2}}\s*[.．、]\s*", "$1"))
 
 
 def splice(text: Column, places: Column, new: str, size: int) -> Column:
     """The text with ``size`` characters at each of the places (from 0) replaced; the last place comes first, so that places hold."""
     late_first = F.reverse(F.array_sort(F.array_distinct(places)))
     return F.aggregate(late_first, text, lambda t, p: F.concat(F.left(t, p), F.lit(new), F.substr(t, p + 1 + size)))
-
-
-_SPAN = re.compile(r"\$([^$]{1,200})\$")
-_TAG = re.compile(r"<(/?)\s*([a-zA-Z0-9]+)[^>]*?(/?)>")
-_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-
-
-def _formula(tex: str) -> str:
-    html = latex_to_html(tex)
-    return f'<span class="m">{html}</span>' if html else ""
-
-
-def _answer(text: str | None) -> str:
-    if text and "$" not in text and re.search(r"\\[a-zA-Z]{2,}", text):
-        return _formula(text)
-    parts = _SPAN.split(text or "")  # text and formulas in turn
-    return "".join(_formula(p) if k % 2 else html_lib.escape(p, quote=False) for k, p in enumerate(parts))
-
-
-@F.pandas_udf(T.StringType())
-def answer_html(text: pd.Series) -> pd.Series:
-    """Answers as html: text is escaped, what stands between dollars is a formula."""
-    return text.map(_answer)
-
-
-def _opened(tags: list[tuple[int, str, str, str]], at: int) -> list[str]:
-    stack: list[str] = []
-    for place, close, name, alone in tags:
-        if place >= at:
-            break
-        if not close:
-            if not alone and name not in _VOID:
-                stack.append(name)
-        elif name in stack:
-            del stack[len(stack) - 1 - stack[::-1].index(name) :]
-    return stack
-
-
-def _balanced(html: str | None, a: int, b: int) -> str | None:
-    if html is None:
-        return None
-    if a >= b:
-        return ""
-    tags = [(m.start(), m[1], m[2].lower(), m[3]) for m in _TAG.finditer(html)]
-    before, after = _opened(tags, a), _opened(tags, b)
-    return "".join(f"<{t}>" for t in before) + html[a:b] + "".join(f"</{t}>" for t in reversed(after))
-
-
-@F.pandas_udf(T.StringType())
-def balanced_slice(html: pd.Series, start: pd.Series, end: pd.Series) -> pd.Series:
-    """The markup from one place to another, with the elements that are open at either end opened and closed."""
-    return pd.Series([_balanced(*x) for x in zip(html, start, end, strict=True)], dtype=object)

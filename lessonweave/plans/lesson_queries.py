@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lessonweave.functions import lessons as fn
+from lessonweave.functions import mathx as math
+from lessonweave.functions import text as text_fn
+from lessonweave.operators import elements
+from lessonweave.operators.sectioning import is_value, trimmed
 from lessonweave.plans.common import collection
 from lessonweave.sources.tables import read
 
@@ -33,11 +37,12 @@ def _lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(rf"""
-SELECT o_orderkey, regexp_matches(trim(line), '^\d{{1,2}}\s*[.．、]\s*([A-D]{{1,4}}\b|[-−+]?\d+(\.\d+)?|[(（]\d{{1,2}}[)）]|\\?[A-Za-z_$]|\$|[由因解答故选设当若则]|根据)') AS is_answer
-FROM (SELECT o_orderkey, {_LINES} AS line FROM orders)
+WITH l AS (SELECT o_orderkey, trim(line) AS t FROM (SELECT o_orderkey, {_LINES} AS line FROM orders)),
+b AS (SELECT o_orderkey, regexp_matches(t, '^\d{{1,2}}\s*[.．、]\s*\S') AS numbered, regexp_replace(t, '^\d{{1,2}}\s*[.．、]\s*', '') AS body FROM l)
+SELECT o_orderkey, numbered AND (regexp_matches(body, '^[-−+]?\d') OR regexp_matches(body, '^\\?[A-Za-z_$]') OR regexp_matches(body, '^[(（]\d{{1,2}}[)）]') OR list_contains(['由', '因', '解', '答', '故', '选', '设', '当', '若', '则'], left(body, 1)) OR starts_with(body, '根据')) AS is_answer FROM b
 """)
 def answer_line_predicate(spark: SparkSession, d: str) -> DataFrame:
-    return _lines(spark, d).select("o_orderkey", fn.is_answer_line(F.col("line")).alias("is_answer"))
+    return _lines(spark, d).select("o_orderkey", is_value(trimmed(F.col("line"))).alias("is_answer"))
 
 
 @query(rf"""
@@ -129,9 +134,40 @@ def document_names(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "part").select("p_partkey", fn.document_name(path).alias("name"))
 
 
-@query("SELECT page_id, CAST(strpos(html, '</div>') + 5 AS INTEGER) AS div_end FROM pages WHERE contains(html, '<div')")
+_TAGS_SQL = r"""
+WITH g AS (SELECT page_id, regexp_extract_all(html, '<\s*/?\s*div[^>]*>') AS ts, string_split_regex(html, '<\s*/?\s*div[^>]*>') AS gs FROM pages),
+e AS (SELECT page_id, i, ts[i] AS tag, list_sum(list_transform(gs[1 : i], lambda x: length(x))) + list_sum(list_transform(ts[1 : i], lambda x: length(x))) AS stop FROM g, unnest(range(1, len(ts) + 1)) AS u(i)),
+t AS (SELECT page_id, i, CASE WHEN regexp_matches(tag, '^<\s*/') THEN -1 ELSE 1 END AS step, CAST(stop AS BIGINT) AS stop, CAST(stop - length(tag) AS BIGINT) AS start FROM e),
+o AS (SELECT a.page_id, a.i, a.start, b.stop, sum(b.step) OVER (PARTITION BY a.page_id, a.i ORDER BY b.i) AS open FROM t a JOIN t b ON b.page_id = a.page_id AND b.i >= a.i WHERE a.step = 1),
+d AS (SELECT page_id, i, start, min(stop) AS stop FROM o WHERE open = 0 GROUP BY 1, 2, 3)
+"""
+
+
+@query(_TAGS_SQL + "SELECT d.page_id, d.start, d.stop, (SELECT count(*) FROM d x WHERE x.page_id = d.page_id AND x.start <= d.start AND x.stop >= d.stop) AS depth FROM d")
+def div_spans(spark: SparkSession, d: str) -> DataFrame:
+    """Where every div begins and ends, inner ones too, and how deep it lies."""
+    return elements.elements(read(spark, d, "pages").select("page_id", "html"), "page_id").where("name = 'div'").select("page_id", "start", "stop", "depth")
+
+
+@query(_TAGS_SQL + "SELECT page_id, min_by(stop, start) AS div_end FROM d GROUP BY 1")
 def div_ends(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "pages").where(F.contains("html", F.lit("<div"))).select("page_id", fn.end_of_div(F.col("html")).alias("div_end"))
+    """Where a page's first div ends, behind those that it holds."""
+    spans = elements.elements(read(spark, d, "pages").select("page_id", "html"), "page_id").where("name = 'div'")
+    return spans.groupBy("page_id").agg(F.min_by("stop", "start").alias("div_end"))
+
+
+@query(
+    _TAGS_SQL
+    + """, top AS (SELECT * FROM d WHERE NOT EXISTS (SELECT 1 FROM d x WHERE x.page_id = d.page_id AND (x.start < d.start AND x.stop > d.stop))),
+b AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY start) - 1 AS n, substr(html, start + 1, stop - start) AS html FROM top JOIN pages USING (page_id))
+SELECT page_id, CAST(n AS INTEGER) AS n, length(html) AS n_chars, md5(html) AS digest FROM b"""
+)
+def isolated_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """The outermost divs of each page, cut out."""
+    pages = read(spark, d, "pages").select("page_id", "html")
+    spans = elements.elements(pages, "page_id").where("name = 'div'").select("page_id", "start", "stop")
+    _, blocks = elements.without(pages, "page_id", "html", spans)
+    return blocks.select("page_id", "n", F.length("html").cast("long").alias("n_chars"), F.md5("html").alias("digest"))
 
 
 @query("SELECT page_id, md5(replace(html, '<p>', '<p class=\"head\">')) AS digest FROM pages")
@@ -149,7 +185,7 @@ SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'a&lt;' || o_custkey || ' <sp
 def answer_formulas(spark: SparkSession, d: str) -> DataFrame:
     c = _s("o_custkey")
     text = _turn(F.col("o_orderkey"), F.concat(F.lit("a<"), c, F.lit(" $x_{"), c, F.lit("}$ end")), F.concat(F.lit("\\sqrt{"), c, F.lit("}")), F.concat(F.lit("plain "), c, F.lit(" $")))
-    return read(spark, d, "orders").select("o_orderkey", fn.answer_html(text).alias("html"))
+    return elements.with_formulas(read(spark, d, "orders").select("o_orderkey", text.alias("text")), "o_orderkey", "text", math.latex_html, text_fn.escape_html)
 
 
 @query("""
@@ -161,7 +197,7 @@ def balanced_slices(spark: SparkSession, d: str) -> DataFrame:
     is_even = F.col("o_orderkey") % 2 == 0
     html = F.when(is_even, even).otherwise(odd)
     start, end = F.when(is_even, 7).otherwise(4), F.when(is_even, F.length(c) + 15).otherwise(F.length(html))
-    return read(spark, d, "orders").select("o_orderkey", fn.balanced_slice(html, start, end).alias("html"))
+    return elements.balanced(read(spark, d, "orders").select("o_orderkey", html.alias("whole"), start.alias("start"), end.alias("stop")), "o_orderkey", "whole", "start", "stop")
 
 
 @query("""
