@@ -20,6 +20,7 @@ often as they occur; ties of the score are settled by count, then by the phrase'
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,14 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _KIND = bytes(2 if c in b".,;:!?\n\x0b\x0c\r" else 1 if c in b" \t" else 0 for c in range(256))
 
 
+def _sorted_places(key: np.ndarray) -> np.ndarray:
+    """A stable order of small numbers: their places are sorted along with them."""
+    bits = len(key).bit_length()
+    if int(key.max(initial=0)).bit_length() + bits > 63:
+        return np.argsort(key, kind="stable")
+    return np.sort((key.astype(np.int64) << bits) | np.arange(len(key))) & ((1 << bits) - 1)
+
+
 @dataclass
 class Phrases:
     """Phrases of one length: places and lengths of their intervals in both orders; their first and last words; and the phrases
@@ -61,27 +70,35 @@ class WordIndex:
     """Both directions of an FM-index over word ids from 1; 0 parts pieces and belongs to no phrase."""
 
     def __init__(self, ids: np.ndarray, depth: int):
+        """``depth``: the words of the longest phrases, which are found by extending those with one word less."""
         self.n_ids = int(ids.max(initial=0)) + 1
-        self.forward = self._order(ids, depth)
-        self.backward = self._order(ids[::-1], depth)
-        self.first = np.searchsorted(np.sort(ids), np.arange(self.n_ids + 1))
+        self.ids, self.depth = ids, max(1, depth - 1)
+        self.first = np.concatenate(([0], np.cumsum(np.bincount(ids, minlength=self.n_ids))))
+
+    @cached_property
+    def forward(self) -> tuple[np.ndarray, np.ndarray]:
+        return self._order(self.ids)
 
-    def _order(self, ids: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    @cached_property
+    def backward(self) -> tuple[np.ndarray, np.ndarray]:
+        return self._order(self.ids[::-1])
+
+    def _order(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(word before each suffix, in the suffixes' order; these rows sorted by that word)."""
         key = ids.astype(np.int64)
-        for j in range(1, depth):
-            if key.max(initial=0) >= (1 << 62) // self.n_ids:
+        for j in range(1, self.depth):
+            if int(key.max(initial=0) + 1).bit_length() + (self.n_ids * len(ids)).bit_length() > 62:
                 key = np.unique(key, return_inverse=True)[1]
             key = key * self.n_ids + np.roll(ids, -j)
-        before = np.roll(ids, 1)[np.argsort(key, kind="stable")]
-        return before, np.argsort(before, kind="stable")
+        before = np.roll(ids, 1)[_sorted_places(key)]
+        return before, _sorted_places(before)
 
     def words(self) -> Phrases:
         at, count = self.first[1:-1], np.diff(self.first[1:])
         return Phrases(at, at.copy(), count, np.arange(1, self.n_ids), np.zeros(len(at), np.int64))
 
-    def _extend(self, side: tuple[np.ndarray, np.ndarray], start: np.ndarray, other: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(start, start in the other order, count, word, parent) of all phrases longer by one word."""
+    def _extend(self, side: tuple[np.ndarray, np.ndarray], start: np.ndarray, other: np.ndarray, count: np.ndarray, last: bool) -> tuple[np.ndarray, ...]:
+        """(start, start in the other order, count, word, parent) of all phrases longer by one word; the ``last`` are not extended and need no other start."""
         before, rows = side
         owner = np.full(len(before), -1, np.int64)
         held = np.concatenate(([0], np.cumsum(count)))
@@ -90,44 +107,44 @@ class WordIndex:
         edge = np.flatnonzero((np.diff(word, prepend=-1) != 0) | (np.diff(own, prepend=-2) != 0))
         size = np.diff(np.append(edge, len(rows)))
         word, own = word[edge], own[edge]
+        kept = (own >= 0) & (word > 0)
+        if last:
+            return edge[kept], edge[kept], size[kept], word[kept], own[kept]
         # In the other order, a phrase's longer ones follow each other by the word that was added.
         held_by = np.flatnonzero(own >= 0)
-        by_owner = held_by[np.argsort(own[held_by], kind="stable")]
+        by_owner = held_by[_sorted_places(own[held_by])]
         sizes = size[by_owner]
         passed = np.cumsum(sizes) - sizes
         first = np.flatnonzero(np.diff(own[by_owner], prepend=-1) != 0)
         passed -= np.repeat(passed[first], np.diff(np.append(first, len(by_owner))))
         moved = np.zeros(len(edge), np.int64)
         moved[by_owner] = other[own[by_owner]] + passed
-        kept = (own >= 0) & (word > 0)
         return edge[kept], moved[kept], size[kept], word[kept], own[kept]
 
-    def extend_left(self, p: Phrases) -> Phrases:
-        left, right, count, word, parent = self._extend(self.forward, p.left, p.right, p.count)
+    def extend_left(self, p: Phrases, last: bool = False) -> Phrases:
+        left, right, count, word, parent = self._extend(self.forward, p.left, p.right, p.count, last)
         return Phrases(left, right, count, word, parent)
 
-    def extend_right(self, p: Phrases) -> Phrases:
-        right, left, count, word, parent = self._extend(self.backward, p.right, p.left, p.count)
+    def extend_right(self, p: Phrases, last: bool = False) -> Phrases:
+        right, left, count, word, parent = self._extend(self.backward, p.right, p.left, p.count, last)
         return Phrases(left, right, count, word, parent)
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     """(different words, the id of each word from 1, its row, whether a piece begins with it) of texts as UTF-8 bytes."""
-    low = data.tobytes().translate(_LOWER)
+    # A line feed after each text parts it from the next.
+    low = np.insert(data, offsets[1:], 10).tobytes().translate(_LOWER)
+    ends_of_rows = offsets[1:] + np.arange(1, len(offsets))
     kind = np.frombuffer(low.translate(_KIND), np.uint8)
     inside = kind == 0
-    first, last = inside.copy(), inside.copy()
-    first[1:] &= ~inside[:-1]
-    last[:-1] &= ~inside[1:]
-    inner = offsets[(offsets > 0) & (offsets < len(data))]
-    first[inner] = inside[inner]
-    last[inner - 1] = inside[inner - 1]
-    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    row = np.searchsorted(offsets, start, side="right") - 1
-    cuts = np.cumsum(kind == 2)
-    piece = cuts[start]
+    turns = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if len(inside) and inside[0]:
+        turns = np.concatenate(([0], turns))
+    start, end = turns[0::2], turns[1::2]
+    row = np.searchsorted(ends_of_rows, start, side="right")
+    piece = np.searchsorted(np.flatnonzero(kind == 2), start)
     begins = np.ones(len(start), bool)
-    begins[1:] = (np.diff(piece) != 0) | (np.diff(row) != 0)
+    begins[1:] = piece[1:] != piece[:-1]
     # Words and what stands between them, in turn, are values over one buffer.
     ends = np.empty(2 * len(start), np.int64)
     ends[0::2], ends[1::2] = start, end
@@ -171,7 +188,7 @@ def counted(ids: np.ndarray, longest: int, often=None) -> list[tuple[np.ndarray,
             p, spelled = Phrases(*(x[kept] for x in (p.left, p.right, p.count, p.word, p.parent))), spelled[kept]
         # In turn, so that both directions are narrowed.
         left = k % 2 == 1
-        p = index.extend_left(p) if left else index.extend_right(p)
+        p = (index.extend_left if left else index.extend_right)(p, last=k == longest - 1)
         before = spelled[p.parent]
         spelled = np.hstack((p.word[:, None], before) if left else (before, p.word[:, None]))
         found.append((spelled, p.count))
@@ -250,13 +267,16 @@ def phrase_counts(documents: DataFrame, sizes: list[int], table: BitTable | None
         for lo in range(0, len(count), 100_000):
             at = slice(lo, lo + 100_000)
             phrase = _written(words, spelled[at]).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrase), pa.string()), phrase, pa.array(count[at], pa.int64())], names=["lang", "phrase", "f"])
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(phrase)), phrase, pa.array(count[at], pa.int64())], names=["lang", "phrase", "f"])
 
     def shard_rows(name, words: pa.Array, own: np.ndarray, begins: np.ndarray):
         if 1 in sizes:
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([None], pa.string()), pa.array([len(own)], pa.int64())], names=["lang", "phrase", "f"])
         for shard, again in shards(own, begins, SHARD_WORDS, longest):
-            used, local = np.unique(shard, return_inverse=True)
+            used = np.flatnonzero(np.bincount(shard))
+            local = np.zeros(used[-1] + 1, np.int64)
+            local[used] = np.arange(len(used))
+            local = local[shard]
             often = None
             if known:
                 hashed = np.zeros(len(used), np.uint64)
@@ -280,7 +300,8 @@ def phrase_counts(documents: DataFrame, sizes: list[int], table: BitTable | None
                 for k in np.unique(of):
                     yield from shard_rows(langs.dictionary[int(k)].as_py(), words, ids[of == k], begins[of == k])
 
-    return in_arrow(rows, run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    # A shard has added up its own, so that adding up again before the shuffle would only fill memory.
+    return in_arrow(rows, run, "lang string, phrase string, f long").repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
 def frequent_phrases(documents: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST) -> DataFrame:
