@@ -58,10 +58,14 @@ def candidates(documents: DataFrame, text: str = "text") -> DataFrame:
     kept = [F.transform(own, span(k)) for k, own in enumerate(found)]
     base = documents.withColumn("__base", F.array_sort(F.concat(*kept)))
     runs = F.transform(matches(t, _RUN, t.rlike(f"[A-Za-z0-9+/_-]{{{LEAST}}}")), lambda m: F.struct(m["s"].alias("start"), m["e"].alias("end"), m["v"].alias("value")))
-    various = F.filter(runs, lambda x: F.size(F.array_distinct(F.regexp_extract_all(x["value"], F.lit("."), F.lit(0)))) >= DIFFERENT)
+    various = F.filter(runs, lambda x: _various(x["value"]))
     return base.withColumn("__runs", _apart(various, F.col("__base")))
 
 
+def _various(value: Column) -> Column:
+    return F.size(F.array_distinct(F.regexp_extract_all(value, F.lit("."), F.lit(0)))) >= DIFFERENT
+
+
 def _apart(runs: Column, base: Column) -> Column:
     """The runs that touch no base span: none that began before reaches into them, and none begins within."""
     item = lambda run: lambda x: F.struct(x["start"].alias("start"), F.lit(run).alias("run"), x["end"].alias("end"), x["value"].alias("value"))
@@ -148,7 +152,7 @@ def fit(rows: DataFrame) -> MarkovModels:
     counts += used
     chance = np.log(np.maximum(counts, 1e-9) / counts.sum(axis=2, keepdims=True).clip(1e-9))
     models = MarkovModels(np.where(used[:, None] & used, chance[1] - chance[0], 0.0).ravel(), 0.0, 0.0, 0.0)
-    scored = rows.where(F.length("value") >= LEAST).select("random", models.score(F.col("value")).alias("score"))
+    scored = rows.where((F.length("value") >= LEAST) & _various(F.col("value"))).select("random", models.score(F.col("value")).alias("score"))
     high = scored.where("NOT random").agg(F.percentile_approx("score", BELOW, 100_000)).first()[0]
     models.margin = max(ODDS, high or 0.0)
     told = dict(scored.groupBy("random").agg(F.avg((F.col("score") >= models.margin).cast("double"))).collect())
