@@ -23,11 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lessonweave.llm.common import durable
+from lessonweave.llm.spans import joined, matches
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
 _EMAIL = rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 _IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
-_CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
+#: Numbers of fewer than 13 digits were never candidates.
+_CARD = r"(?<![0-9])(?<![0-9][\x20-])(?=[0-9](?:[\x20-]?[0-9]){12})[0-9]++(?:[\x20-][0-9]++)*+"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _SECRET = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])(?=[0-9_+/-]*+[A-Za-z])[A-Za-z0-9_+/-]{20,}+"
 _VEILED = rf"(?<!{_LOCAL}){_LOCAL}++ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?[\[(]dot[\])] ?[A-Za-z0-9-]++)+"
@@ -93,22 +95,8 @@ def _passes(kind: Kind, v: Column) -> Column:
 
 
 def _matches(text: Column, kind: Kind) -> Column:
-    """(start, end, value, before) of each match, in order."""
-    found, gaps = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), F.split(text, kind.pattern, -1)
-    state = "struct<p:int,a:array<struct<s:int,e:int,v:string,b:string>>>"
-    zero = F.struct(F.lit(0).alias("p"), F.array().cast("array<struct<s:int,e:int,v:string,b:string>>").alias("a")).cast(state)
-
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["p"] + F.length(x["gaps"])
-        e = s + F.length(x["found"])
-        own = F.struct(s.alias("s"), e.alias("e"), x["found"].alias("v"), F.right(x["gaps"], F.lit(CONTEXT_CHARS)).alias("b"))
-        return F.struct(e.alias("p"), F.array_append(acc["a"], own).alias("a")).cast(state)
-
-    pairs = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gaps"), found.alias("found"))
-    all_of_them = F.aggregate(pairs, zero, step, lambda acc: acc["a"])
-    none = F.array().cast("array<struct<s:int,e:int,v:string,b:string>>")
-    quick = F.contains(text, F.lit(kind.quick)) if kind.quick else text.rlike("[0-9]")
-    return F.when(quick, F.when(F.size(found) > 0, all_of_them).otherwise(none)).otherwise(none)
+    """Places, values and what stands before each match, in order."""
+    return matches(text, kind.pattern, F.contains(text, F.lit(kind.quick)) if kind.quick else text.rlike("[0-9]"), before=CONTEXT_CHARS)
 
 
 def _vote(yes: Column, no: Column) -> Column:
@@ -137,13 +125,7 @@ _PATTERN = ["k", "regex", "gazetteer", "context", "shape"]
 def candidates(documents: DataFrame, text: str = "text") -> DataFrame:
     """All columns of ``documents`` and ``__found``: every candidate span with its votes."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    # Numbers of fewer than 13 digits were never candidates for cards.
-    lists = []
-    for k, kind in enumerate(KINDS):
-        own = _matches(t, kind)
-        if kind.name == "card":
-            own = F.filter(own, lambda m: F.length(m["v"]) >= 13)
-        lists.append(F.transform(own, _candidate(k, kind)))
+    lists = [F.transform(_matches(t, kind), _candidate(k, kind)) for k, kind in enumerate(KINDS)]
     return documents.withColumn("__found", F.concat(*lists))
 
 
@@ -243,10 +225,6 @@ def find_pii(documents: DataFrame, text: str = "text") -> DataFrame:
     return found.withColumn("__spans", spans).drop("__found")
 
 
-def _joined(spans: Column) -> Column:
-    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
-
-
 def op6_pii(spark, sf_dir: str) -> DataFrame:
     from lessonweave.llm.common import table
 
@@ -255,4 +233,4 @@ def op6_pii(spark, sf_dir: str) -> DataFrame:
     kinds = F.transform("__spans", lambda x: x["kind"])
     count = {k: (F.size(kinds) - F.size(F.array_remove(kinds, k.name))).cast("long").alias(f"n_{k.name}") for k in KINDS}
     first, more = ([c for k, c in count.items() if k.base is kind] for kind in (True, False))
-    return found.select("doc_id", *first, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("__spans")).alias("spans"), *more)
+    return found.select("doc_id", *first, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("__spans")).alias("spans"), *more)

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Sums are folded over so many items at a time, as appending to an array copies it.
-_FOLD = 128
+_FOLD = 256
 
 
 def bound(value: Column, use) -> Column:
@@ -24,8 +24,8 @@ def _fold(x: Column, start: Column, combine) -> Column:
     return F.aggregate(x, zero, step, lambda acc: acc["a"])
 
 
-def running(x: Column, combine=lambda a, b: a + b, levels: int = 3) -> Column:
-    """``combine`` of 0 and all items up to and with each, of an array of integers, in time n * 128 up to 128**levels items."""
+def running(x: Column, combine=lambda a, b: a + b, levels: int = 2) -> Column:
+    """``combine`` of 0 and all items up to and with each, of an array of integers, in time n * 256 up to some millions of items."""
     x = x.cast("array<bigint>")
     if levels == 1:
         return _fold(x, F.lit(0), combine)
