@@ -4,20 +4,30 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder that ``spark.checkpoint.dir`` names. Where that is unset, a local session gets a temporary folder; on a
-    cluster it is an error."""
-    spark = df.sparkSession
+def _folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names. Where that is unset, a local session gets a temporary one; on a cluster it is an
+    error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
+    return sc.getCheckpointDir()
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in that folder, for tables that are written and read again."""
+    return f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    _folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

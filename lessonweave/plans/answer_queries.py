@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lessonweave.operators import answers as op
+from lessonweave.operators.catalog_build import lesson_lists
 from lessonweave.operators.scans import places
 from lessonweave.plans.common import collection
 from lessonweave.sources.tables import read
@@ -169,12 +170,17 @@ def tag_override(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH s AS (SELECT DISTINCT l_orderkey % 50 AS doc, CASE WHEN l_quantity < 5 THEN 'few ' || l_suppkey WHEN l_discount > 0.08 THEN 'cheap' END AS w FROM lineitem)
-SELECT doc, coalesce(string_agg(w, ',' ORDER BY w) FILTER (w IS NOT NULL), '') AS warnings FROM s GROUP BY doc
+WITH s AS (SELECT DISTINCT l_suppkey AS doc, CASE WHEN l_quantity < 5 THEN 'few ' || l_partkey WHEN l_discount > 0.08 THEN 'cheap' END AS w FROM lineitem),
+p AS (SELECT doc, w, row_number() OVER (PARTITION BY doc ORDER BY w) AS place FROM s WHERE w IS NOT NULL)
+SELECT doc, (place - 1) // 20 AS part, count(*) AS n, string_agg(w, ',' ORDER BY w) AS listing FROM p GROUP BY 1, 2
 """)
 def warning_lists(spark: SparkSession, d: str) -> DataFrame:
-    w = F.when(F.col("l_quantity") < 5, F.concat(F.lit("few "), F.col("l_suppkey").cast("string"))).when(F.col("l_discount") > 0.08, "cheap")
-    return read(spark, d, "lineitem").groupBy((F.col("l_orderkey") % 50).alias("doc")).agg(F.array_join(F.array_sort(F.collect_set(w)), ",").alias("warnings"))
+    """Each document's different warnings in order, in rows of a bounded length: distinct before they are gathered, placed by ranges."""
+    w = F.when(F.col("l_quantity") < 5, F.concat(F.lit("few "), F.col("l_partkey").cast("string"))).when(F.col("l_discount") > 0.08, "cheap")
+    found = read(spark, d, "lineitem").select(F.col("l_suppkey").alias("doc"), w.alias("w")).where("w IS NOT NULL").distinct()
+    # Ranges are cut by a number that sorts as the texts do: their first seven characters, which are ASCII.
+    number = F.conv(F.rpad(F.hex(F.left("w", F.lit(7))), 14, "0"), 16, 10).cast("long")
+    return lesson_lists(found.withColumn("first", number), ["doc"], "w", ["first", "w"], 20)
 
 
 @query("""

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lessonweave.checkpoints import shared_path
 from lessonweave.operators import catalog as op
+from lessonweave.operators import catalog_build as build
 from lessonweave.operators.scans import places
 from lessonweave.plans.common import collection
 from lessonweave.sources.tables import read
@@ -167,26 +169,15 @@ def status_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH l AS (
-  SELECT n_regionkey, n_nationkey, n_name, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS n,
-    (SELECT string_agg(c_name, ';' ORDER BY c_custkey) FROM (SELECT * FROM customer WHERE c_nationkey = n_nationkey)) AS names
-  FROM nation
-)
-SELECT r_name AS chapter, count(n_nationkey) AS lessons, CAST(sum(n) AS BIGINT) AS resources,
-  string_agg(n_name || ':' || coalesce(names, ''), '|' ORDER BY n_nationkey) AS listing
-FROM region LEFT JOIN l ON n_regionkey = r_regionkey GROUP BY r_regionkey, r_name
+WITH c AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS place FROM customer),
+l AS (SELECT c_nationkey, (place - 1) // 100 AS part, count(*) AS resources, string_agg(c_name, ',' ORDER BY c_custkey) AS listing FROM c GROUP BY 1, 2)
+SELECT r_name AS chapter, n_name AS lesson, part, resources, listing FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN l ON c_nationkey = n_nationkey
 """)
 def catalog_rollup(spark: SparkSession, d: str) -> DataFrame:
-    resource = F.struct(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
-    resources = read(spark, d, "customer").groupBy("c_nationkey").agg(F.array_sort(F.collect_list(resource)).alias("resources"))
-    lessons = read(spark, d, "nation").join(resources, F.col("n_nationkey") == F.col("c_nationkey"), "left")
-    lesson = F.struct(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"), F.coalesce("resources", F.array().cast("array<struct<k:bigint,name:string>>")).alias("resources"))
-    chapters = lessons.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(lesson)).alias("lessons"))
-    listing = F.transform("lessons", lambda x: F.concat(x["name"], F.lit(":"), F.array_join(F.transform(x["resources"], lambda r: r["name"]), ";")))
-    count = F.aggregate("lessons", F.lit(0).cast("long"), lambda a, x: a + F.size(x["resources"]))
-    return read(spark, d, "region").join(chapters, F.col("r_regionkey") == F.col("n_regionkey"), "left").select(
-        F.col("r_name").alias("chapter"), F.size("lessons").cast("long").alias("lessons"), count.alias("resources"), F.array_join(listing, "|").alias("listing")
-    )
+    """Chapter, lesson and its resources in rows of a bounded length; lessons without any have a row too."""
+    lists = build.lesson_lists(read(spark, d, "customer").select("c_nationkey", "c_custkey", "c_name"), ["c_nationkey"], "c_name", ["c_custkey"], 100).withColumnRenamed("n", "resources")
+    lessons = read(spark, d, "region").join(read(spark, d, "nation"), F.col("r_regionkey") == F.col("n_regionkey"))
+    return lessons.join(lists, F.col("n_nationkey") == F.col("c_nationkey"), "left").select(F.col("r_name").alias("chapter"), F.col("n_name").alias("lesson"), "part", "resources", "listing")
 
 
 @query("""
@@ -264,3 +255,38 @@ def prefix_sort(spark: SparkSession, d: str) -> DataFrame:
     number = F.coalesce(F.regexp_extract("o_orderpriority", r"^(\d+)-", 1).try_cast("int"), F.lit(99))
     rows = read(spark, d, "orders").select("o_orderkey", group.alias("group"), number.alias("number"))
     return op.global_places(rows, ["group", "number"], "o_orderkey", "place").select("o_orderkey", "place")
+
+
+@query(
+    _ITEMS_SQL.replace("WITH items", "WITH items0", 1).replace("FROM lineitem", "FROM lineitem", 1)
+    + """, ranked AS (
+  SELECT *, CASE flag WHEN 'href' THEN 0 WHEN 'source' THEN 1 WHEN 'pdf' THEN 2 WHEN 'file' THEN 3 END AS r FROM items0
+), best AS (
+  SELECT *, list_filter(storages, lambda s: starts_with(s, 'http'))[1] AS url FROM ranked WHERE r IS NOT NULL QUALIFY row_number() OVER (PARTITION BY bundle ORDER BY r, pos) = 1
+), picked AS (
+  SELECT bundle, url, CASE WHEN format <> '' THEN format WHEN regexp_matches(split_part(url, '?', 1), '\\.[A-Za-z0-9]{1,5}$') THEN regexp_extract(split_part(url, '?', 1), '\\.([A-Za-z0-9]{1,5})$', 1) ELSE 'bin' END AS ext FROM best WHERE url IS NOT NULL
+), c AS (
+  SELECT c_custkey AS course_id, unnest(['R' || (c_custkey % 7) || '/N' || c_nationkey, 'R' || (c_nationkey % 5) || '/N' || (c_custkey % 30), 'R' || (c_custkey % 3)]) AS path, unnest([0, 1, 2]) AS pos FROM customer
+), k AS (SELECT course_id, pos, split_part(path, '/', 1) AS chapter_id, nullif(split_part(path, '/', 2), '') AS node_id FROM c),
+f AS (SELECT k.*, r_name AS chapter FROM k JOIN region ON chapter_id = 'R' || r_regionkey QUALIFY row_number() OVER (PARTITION BY course_id ORDER BY pos) = 1),
+h AS (SELECT course_id, chapter_id, chapter, CASE WHEN n_name IS NOT NULL THEN node_id END AS lesson_id, n_name AS lesson FROM f LEFT JOIN nation ON node_id = 'N' || n_nationkey),
+b AS (SELECT o_orderkey AS bundle, o_custkey AS course_id, trim(split_part(o_orderpriority, '-', 2)) AS period, 'r' || (o_orderkey % 37) AS name FROM orders JOIN picked ON bundle = o_orderkey),
+s AS (SELECT course_id, count(DISTINCT period) > 1 AS several FROM b GROUP BY 1),
+n AS (SELECT chapter_id, chapter, lesson_id, lesson, b.bundle, period, CASE WHEN several THEN period || '-' ELSE '' END || name || '.' || ext AS file, url, ext FROM b JOIN s USING (course_id) JOIN h USING (course_id) JOIN picked USING (bundle)),
+w AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY chapter_id, lesson_id, file ORDER BY bundle) = 1),
+p AS (SELECT *, row_number() OVER (PARTITION BY chapter_id, lesson_id ORDER BY bundle, file) AS place FROM w)
+SELECT chapter_id, chapter, lesson_id, lesson, (place - 1) // 50 AS part, place, file, url, ext, period FROM p
+""".replace("\\\\", "\\")
+)
+def catalog_build(spark: SparkSession, d: str) -> DataFrame:
+    """The whole catalog, written as nested JSON by chapter and read again."""
+    c, n = F.col("c_custkey"), F.col("c_nationkey")
+    path = lambda head, tail: F.concat(F.lit("R"), head, F.lit("/N"), tail)
+    courses = read(spark, d, "customer").select(c.alias("course_id"), F.array(path(c % 7, n), path(n % 5, c % 30), F.concat(F.lit("R"), c % 3)).alias("chapter_paths"))
+    chapters = read(spark, d, "region").select(F.concat(F.lit("R"), F.col("r_regionkey")).alias("chapter_id"), F.col("r_name").alias("chapter"))
+    nodes = read(spark, d, "nation").select(F.concat(F.lit("N"), F.col("n_nationkey")).alias("node_id"), F.col("n_name").alias("lesson"))
+    bundles = read(spark, d, "orders").select(F.col("o_orderkey").alias("bundle"), F.col("o_custkey").alias("course_id"), F.trim(F.split_part("o_orderpriority", F.lit("-"), F.lit(2))).alias("period"), F.concat(F.lit("r"), F.col("o_orderkey") % 37).alias("name"))
+    rows = build.catalog_rows(courses, chapters, nodes, bundles, _items(spark, d).drop("bundle_pos"))
+    written = shared_path(spark, "catalog")
+    build.write_catalog(rows, written, 50)
+    return build.read_catalog(spark, written)
