@@ -123,11 +123,43 @@ def test_a_crowd_of_near_copies_is_linked(spark):
     assert sum(group[i] == group[j] for i, j in links) >= 0.9 * len(links) > 1000
 
 
+def letters_changed(rng, line, share, since):
+    """One letter is another in a share of the words, from one of them on."""
+    ws = line.split(" ")
+    for i in rng.sample(range(since, len(ws)), int(share * len(ws))):
+        at = rng.randrange(len(ws[i]))
+        ws[i] = ws[i][:at] + rng.choice("abcdefghijklmnopqrstuvwxyz") + ws[i][at + 1 :]
+    return " ".join(ws)
+
+
+@pytest.mark.parametrize(("head", "salted"), [(False, False), (True, False), (True, True)])
+def test_letters_in_a_quarter_of_the_words(spark, monkeypatch, head, salted):
+    """Pairs of lines of which all may begin with the same three words, a block that a thousand lines share, dealt to many tasks or not."""
+    if salted:
+        monkeypatch.setattr(line_dedup, "SAMPLE_LINES", 1000)
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9)))
+    shared = [word() for _ in range(3)]
+    lines = [" ".join((shared if head else [word() for _ in range(3)]) + [word() for _ in range(9)]) for _ in range(500)]
+    norms = sorted({x for line in lines for x in (line, letters_changed(rng, line, 0.25, 3))})
+    links, ids = line_links(norms), ids_of(spark, norms)
+    kept = {r["id"]: tuple(r["kept"]) for r in line_dedup.line_groups(frame(spark, list(enumerate(norms)))).collect()}
+    group = [kept.get(ids[i], i) for i in range(len(norms))]
+    assert sum(group[i] == group[j] for i, j in links) >= 0.95 * len(links) > 400
+
+
+def test_groups_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SAMPLE_LINES", 1000)
+    docs = frame(spark, list(enumerate(corpus(5))))
+    got = [sorted(map(str, line_dedup.line_groups(docs.repartition(n)).collect())) for n in (1, 5)]
+    assert got[0] == got[1]
+
+
 def test_frequent_blocks_lose_no_link(spark, monkeypatch):
     """With every block dealt to many tasks, and every join by a shuffle, the groups stay the same."""
     docs = frame(spark, list(enumerate(corpus(3))))
     want = sorted(tuple(r) for r in line_dedup.dedup_lines(docs).select("doc_id", "text", "__n_dropped").collect() if r["doc_id"] is not None)
-    for name, value in (("SAMPLE_LINES", 1000), ("SALTS", 1), ("SMALL", 0)):
+    for name, value in (("SAMPLE_LINES", 1000), ("SALTS", 64), ("SMALL", 0)):
         monkeypatch.setattr(line_dedup, name, value)
     got = sorted(tuple(r) for r in line_dedup.dedup_lines(docs).select("doc_id", "text", "__n_dropped").collect() if r["doc_id"] is not None)
     assert got == want
