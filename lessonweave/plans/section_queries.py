@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lessonweave.operators import sectioning as op
+from lessonweave.operators.editions import OPEN_TASK, edition
 from lessonweave.plans.common import collection
 from lessonweave.sources.tables import read
 
@@ -143,16 +144,52 @@ def section_list(spark: SparkSession, d: str) -> DataFrame:
     return op.sections(op.decisions(_documents(spark, d)))
 
 
-@query(
-    _sql(
-        _DOCUMENTS,
-        r""", a AS (SELECT doc, grp, idx, number AS no, 0 AS pos, CASE WHEN act IN ('explanation', 'more') THEN '解析' ELSE '答案' END AS tag,
+_ANSWERS = r""", a AS (SELECT doc, grp, idx, number AS no, 0 AS pos, CASE WHEN act IN ('explanation', 'more') THEN '解析' ELSE '答案' END AS tag,
   CASE act WHEN 'answer' THEN body WHEN 'numbered_answer' THEN regexp_replace(t, '^[0-9０-９]{1,2}[\s　]*[.．、]?[\s　]*(【[^】]*答案[^】]*】|参考答案|答案)[\s　]*[:：]?[\s　]*', '') WHEN 'explanation' THEN regexp_replace(t, '^(【[^】]*解析[^】]*】|解析|详解|点拨)[\s　]*[:：]?[\s　]*', '') ELSE t END AS text FROM d WHERE act IN ('answer', 'numbered_answer', 'explanation', 'more')
 UNION ALL SELECT doc, grp, idx, coalesce(unnest(marks), 1), unnest(range(len(marks))), '答案', unnest(bodies) FROM d WHERE act = 'answers'
 UNION ALL SELECT doc, grp, idx, unnest(pairs), unnest(range(len(pairs))), '答案', unnest(pb) FROM d WHERE act = 'pairs'),
-g AS (SELECT doc, grp, no, CASE WHEN bool_or(tag = '解析') THEN '解析' ELSE '答案' END AS tag, count(*) AS parts, string_agg(text, chr(10) ORDER BY idx, pos) AS text FROM a GROUP BY 1, 2, 3)
-SELECT doc, grp, no, row_number() OVER (PARTITION BY doc ORDER BY grp, no) AS place, tag, no || '．' || tag AS title, parts, text FROM g""",
-    )
-)
+g AS (SELECT doc, grp, no, CASE WHEN bool_or(tag = '解析') THEN '解析' ELSE '答案' END AS tag, count(*) AS parts, string_agg(text, chr(10) ORDER BY idx, pos) AS text FROM a GROUP BY 1, 2, 3)"""
+_ANSWER_LIST = "SELECT doc, grp, no, row_number() OVER (PARTITION BY doc ORDER BY grp, no) AS place, tag, no || '．' || tag AS title, parts, text FROM g"
+
+
+@query(_sql(_DOCUMENTS, _ANSWERS + _ANSWER_LIST))
 def section_answers(spark: SparkSession, d: str) -> DataFrame:
     return op.answer_sections(op.answers(op.decisions(_documents(spark, d))))
+
+
+_SECTIONS = r""", se AS (SELECT doc, sid - CASE WHEN act = 'title_stem' THEN 1 ELSE 0 END AS sid, 'h' AS kind, head AS title, CAST(NULL AS INTEGER) AS no, CAST(NULL AS BIGINT) AS grp FROM d WHERE act IN ('title', 'title_stem')
+UNION ALL SELECT doc, sid, CASE WHEN act IN ('stem', 'title_stem') THEN 'q' ELSE 'task' END, CASE act WHEN 'task' THEN task WHEN 'piece' THEN piece WHEN 'divider' THEN t END, number, CASE WHEN act IN ('stem', 'title_stem') THEN grp END FROM d WHERE act IN ('stem', 'title_stem', 'task', 'piece', 'divider')
+UNION ALL SELECT DISTINCT doc, CAST(0 AS BIGINT), 'h', '正文', CAST(NULL AS INTEGER), CAST(NULL AS BIGINT) FROM d WHERE sid = 0 AND (act IN ('table', 'text') OR act = 'figure')),
+it AS (SELECT doc, CASE WHEN act = 'option' THEN qid ELSE sid END AS sid, idx, CASE WHEN act IN ('table', 'text', 'option') THEN t WHEN act = 'title' AND head <> '课后练习答案' THEN nullif(rest, '')
+  WHEN act = 'title_stem' THEN regexp_replace(rest, '^[0-9０-９]{1,2}[\s　]*[.．、][\s　]*', '') WHEN act = 'stem' THEN regexp_replace(t, '^[0-9０-９]{1,2}[\s　]*[.．、][\s　]*', '')
+  WHEN act = 'task' THEN nullif(regexp_replace(t, '^(【[\s　]*学习任务[^】]*】|【[\s　]*目标[^】]*】|【[\s　]*判断正误[\s　]*】)[\s　]*', ''), '') WHEN act = 'piece' THEN nullif(regexp_replace(t, '^《[^》]{1,20}》[\s　]*【[^】]{2,8}】[\s　]*', ''), '') END AS value
+  FROM d WHERE act IN ('table', 'text', 'title', 'title_stem', 'task', 'piece', 'stem', 'option')),
+bo AS (SELECT doc, sid, string_agg(value, chr(10) ORDER BY idx) AS body, bool_or(regexp_matches(regexp_replace(value, '<[^>]+>', '', 'g'), '^[\s　]*[A-DＡ-Ｄ]\s*[.、．]') OR regexp_matches(regexp_replace(value, '<[^>]+>', '', 'g'), '[A-DＡ-Ｄ]\s*[.、．][^。]{4,40}?[A-DＡ-Ｄ]\s*[.、．]')) AS options, sum(length(value)) AS chars FROM it WHERE value IS NOT NULL GROUP BY 1, 2),
+b AS (SELECT se.*, body, options, chars FROM se LEFT JOIN bo USING (doc, sid)),
+sh AS (SELECT doc, 0 AS part, sid AS place, 0 AS sub, CASE WHEN kind = 'q' THEN no || '．' ELSE title END AS line FROM b UNION ALL SELECT doc, 0, sid, 1, body FROM b WHERE body IS NOT NULL)"""
+
+
+@query(_sql(_DOCUMENTS, _SECTIONS + " SELECT * FROM sh UNION ALL SELECT doc, 0, sid, 2, repeat('_', CASE WHEN coalesce(chars, 0) <= 130 THEN 3 WHEN chars <= 230 THEN 4 ELSE 6 END) FROM b WHERE kind = 'q' AND NOT coalesce(options, FALSE)"))
+def edition_student(spark: SparkSession, d: str) -> DataFrame:
+    """Titles and texts, with room after questions that have no options."""
+    return edition(op.decisions(_documents(spark, d)), "student")
+
+
+@query(
+    _sql(
+        _DOCUMENTS,
+        _ANSWERS
+        + _SECTIONS
+        + """ SELECT * FROM sh UNION ALL SELECT b.doc, 0, b.sid, 2, '【' || coalesce(x.tag, y.tag) || '】' || coalesce(x.text, y.text) FROM b LEFT JOIN g x ON x.doc = b.doc AND x.grp = b.grp AND x.no = b.no AND trim(x.text) <> ''
+LEFT JOIN g y ON y.doc = b.doc AND y.grp = 0 AND y.no = b.no AND trim(y.text) <> '' WHERE b.kind = 'q' AND coalesce(x.text, y.text) IS NOT NULL""",
+    )
+)
+def edition_teacher(spark: SparkSession, d: str) -> DataFrame:
+    """Titles and texts, with the answer after each question that has one."""
+    return edition(op.decisions(_documents(spark, d)), "teacher")
+
+
+@query(_sql(_DOCUMENTS, _ANSWERS + _SECTIONS + f" SELECT doc, 0 AS part, sid AS place, 1 AS sub, '{OPEN_TASK}' AS line FROM se WHERE kind = 'task' UNION ALL SELECT doc, 1, row_number() OVER (PARTITION BY doc ORDER BY grp, no), 0, no || '．' || tag || '　' || text FROM g"))
+def edition_answers(spark: SparkSession, d: str) -> DataFrame:
+    """A notice for each task, and the answers by group and number."""
+    return edition(op.decisions(_documents(spark, d)), "answer")

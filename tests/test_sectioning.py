@@ -103,3 +103,18 @@ def test_large_documents_in_ranges(spark):
     blocks = frame(spark, docs)
     whole, cut = (sorted(map(str, S.decisions(blocks, least).select("doc", "idx", "act", "number", "sid", "grp", "qid", "waits").collect())) for least in (10_000, 40))
     assert whole == cut
+
+
+def test_editions(spark):
+    """Room only after questions without options; answers after each question; answers alone with a notice for tasks."""
+    from lessonweave.operators.editions import OPEN_TASK, edition
+
+    docs = {"d": ["课后练习", "1．如图", "A．甲", "2．计算", "【学习任务一】读书", "课后练习答案", "1．A  2．因为 ", "解析：略"], "plain": ["自我测评", "1．如图", "2．如图", "答案：B"]}
+    decided = S.decisions(frame(spark, docs))
+    lines = lambda mode: [(r.doc, r.part, r.place, r.sub, r.line) for r in edition(decided, mode).orderBy("doc", "part", "place", "sub").collect()]
+    student = [r for r in lines("student") if r[0] == "d"]
+    assert student == [("d", 0, 1, 0, "课后练习"), ("d", 0, 2, 0, "1．"), ("d", 0, 2, 1, "如图\nA．甲"), ("d", 0, 3, 0, "2．"), ("d", 0, 3, 1, "计算"), ("d", 0, 3, 2, "___"), ("d", 0, 4, 0, "【学习任务一】"), ("d", 0, 4, 1, "读书"), ("d", 0, 5, 0, "课后练习答案")]
+    assert [r[4] for r in lines("teacher") if r[3] == 2] == ["【答案】A", "【解析】因为\n略", "【答案】B"]
+    assert lines("answer") == [("d", 0, 4, 1, OPEN_TASK), ("d", 1, 1, 0, "1．答案　A"), ("d", 1, 2, 0, "2．解析　因为\n略"), ("plain", 1, 1, 0, "2．答案　B")]
+    with pytest.raises(ValueError):
+        edition(decided, "other")
