@@ -10,7 +10,9 @@ from lessonweave.operators import catalog as op
 from lessonweave.operators import catalog_build as build
 from lessonweave.operators.scans import places
 from lessonweave.plans.common import collection
+from lessonweave.sources.catalog import listing, write_sections
 from lessonweave.sources.tables import read
+from lessonweave.streaming.resume import run_new_files
 
 QUERIES, SQL, query = collection()
 
@@ -290,3 +292,29 @@ def catalog_build(spark: SparkSession, d: str) -> DataFrame:
     written = shared_path(spark, "catalog")
     build.write_catalog(rows, written, 50)
     return build.read_catalog(spark, written)
+
+
+@query("""
+SELECT o_orderkey AS id, o_custkey AS lesson, o_orderstatus AS status, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS batch FROM orders
+""")
+def resumed_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Files arrive in two parts; a stream that ran after the first takes only the second when it runs again."""
+    rows = read(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("lesson"), F.col("o_orderstatus").alias("status"), F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(0).alias("batch"))
+    source, out, state = (shared_path(spark, name) for name in ("arrivals", "taken", "progress"))
+    for batch in (0, 1):
+        rows.where(F.col("batch") == batch).write.mode("append").json(source)
+        run_new_files(spark, source, "id long, lesson long, status string, batch int", lambda x: x, out, state)
+    return spark.read.schema(rows.schema).parquet(out)
+
+
+@query("SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1")
+def listed_sections(spark: SparkSession, d: str) -> DataFrame:
+    """Sections as JSON in a folder for each status, replaced by a second writing; the folders of the listing, and the rows that are read back from each."""
+    path = shared_path(spark, "sections")
+    orders = read(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    for rows in (orders.where("o_orderkey % 2 = 0"), orders):
+        write_sections(rows, path, "o_orderstatus")
+    folder = F.regexp_extract("path", "o_orderstatus=([^/]+)", 1)
+    files = listing(spark, path, "*.json").where("bytes > 0").select("path", folder.alias("status"))
+    lines = spark.read.schema("o_orderkey long, o_orderstatus string").json(path)
+    return lines.join(files.select("status").distinct(), lines["o_orderstatus"] == F.col("status")).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
