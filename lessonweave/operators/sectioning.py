@@ -294,31 +294,30 @@ def _run(rows: DataFrame) -> DataFrame:
             columns = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}
             for i, key in enumerate(zip(columns["doc"], columns[RANGE], strict=True)):
                 f = {c: columns[c][i] for c in inputs} | {"idx": columns["idx"][i]}
+                # A row goes on its way when the next one tells whether its range goes on.
+                if last is not None:
+                    last[-1] = json.dumps(state) if key != now else None
+                    out.append(last)
                 if key != now:
-                    if last is not None:
-                        last[-1] = json.dumps(state)
-                        out.insert(0, last) if not out or out[-1] is not last else None
                     given = columns["__in"][i]
                     now, state = key, json.loads(given) if given else START | {"answered": [], "context": "exercise" if f["f_exercise"] else "list", "begun": key[1] > 0}
-                elif last is not None and (not out or out[-1] is not last):
-                    out.insert(0, last)
-                waiting = state["waiting"]
-                act, number, opened = decide(state, f)
-                groups = int(f["f_forced"]) + int(bool(opened) and opened[0][0] == "h" and f["f_head"] == "exercise")
-                waits = waiting if waiting is not None and any(k == "q" for k, _ in opened) else state["waiting"] if act == "title" and f["f_figures"] else None
-                if act == "title_stem" and f["f_figures"] and (f["f_asks"] or f["f_stem"]):
-                    waits = f["idx"] if waiting is None else waiting
-                last = [*key, f["idx"], act, number, len(opened), sum(k == "q" for k, _ in opened), groups, waits, None]
-                out.append(last)
-            # The last row waits until it is known whether its range goes on.
-            if out and out[-1] is last:
-                out.pop()
+                last = [*key, f["idx"], *decided_row(state, f), None]
             if out:
                 yield pack(out)
         if last is not None:
             last[-1] = json.dumps(state)
             yield pack([last])
 
+    def decided_row(state: dict[str, Any], f: dict[str, Any]) -> tuple:
+        """(act, number, opened, questions, groups, waits): ``waits`` names the first of the titles whose figures wait for one question, at these and at the question."""
+        held = state["waiting"]
+        act, number, opened = decide(state, f)
+        titled = act in ("title", "title_stem") and f["f_head"] == "exercise"
+        questions = sum(k == "q" for k, _ in opened)
+        joins = titled and f["f_figures"] and (f["f_asks"] or f["f_stem"])
+        waits = (held if held is not None else f["idx"] if joins else None) if joins or questions else None
+        return act, number, len(opened), questions, int(f["f_forced"]) + int(titled), waits
+
     def pack(out: list[list]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
