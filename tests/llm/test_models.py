@@ -93,7 +93,7 @@ def test_base_spans_are_exact(spark, tables):
     texts += [r["text"] for r in tables["documents"].select("text").collect()]
     docs = spark.createDataFrame([(i, t, "c") for i, t in enumerate(texts)], "doc_id long, text string, spans string").repartition(4)
     found = pii.find_pii(docs)
-    rows = {r["doc_id"]: r for r in found.select("doc_id", "spans", pii._joined(F.filter("__spans", lambda x: x["base"])).alias("base"), pii._joined(F.col("__spans")).alias("every")).collect()}
+    rows = {r["doc_id"]: r for r in found.select("doc_id", "spans", pii.joined(F.filter("__spans", lambda x: x["base"])).alias("base"), pii.joined(F.col("__spans")).alias("every")).collect()}
     assert {i: r["base"] for i, r in rows.items()} == {i: brute_pii(t) for i, t in enumerate(texts)}
     assert all(set(r["base"].split(",")) <= set(r["every"].split(",")) | {""} for r in rows.values())
     assert "secret:9:41" in rows[texts.index('token = "dfd1944d2e84f15e89902e34b677eb5a"')]["every"]
