@@ -40,7 +40,7 @@ f AS (
 ),
 m AS (SELECT page, n, y0, x0, y1, x1 FROM f QUALIFY row_number() OVER (PARTITION BY page, n ORDER BY i DESC) = 1),
 v AS (SELECT * FROM m WHERE NOT ((x1 - x0) / greatest(y1 - y0, 1) > 6 AND y1 - y0 < 60) AND x1 - x0 >= 30 AND y1 - y0 >= 20
-  AND NOT EXISTS (SELECT 1 FROM r i WHERE i.page = m.page AND i.picture AND i.x1 - i.x0 >= 40 AND greatest(0, least(m.x1, i.x1) - greatest(m.x0, i.x0)) * greatest(0, least(m.y1, i.y1) - greatest(m.y0, i.y0)) > 0.6 * (m.x1 - m.x0) * (m.y1 - m.y0))),
+  AND NOT EXISTS (SELECT 1 FROM r i WHERE i.page = m.page AND i.picture AND i.x1 - i.x0 >= 40 AND greatest(0, least(m.x1, i.x1) - greatest(m.x0, i.x0)) * greatest(0, least(m.y1, i.y1) - greatest(m.y0, i.y0)) > CAST(0.6 AS DOUBLE) * ((m.x1 - m.x0) * (m.y1 - m.y0)))),
 u AS (SELECT t.page, 0 AS source, CAST(t.block AS BIGINT) AS n, 't' AS kind, y0, text, CAST(NULL AS DOUBLE) AS width, CAST(NULL AS DOUBLE) AS height FROM t JOIN tops USING (page, block)
   UNION ALL SELECT page, 1, n, 'f', CAST(y0 AS DOUBLE), NULL, CAST(x1 - x0 AS DOUBLE), CAST(y1 - y0 AS DOUBLE) FROM r WHERE picture AND x1 - x0 >= 40
   UNION ALL SELECT page, 2, n, 'f', y0, NULL, x1 - x0, y1 - y0 FROM v)
