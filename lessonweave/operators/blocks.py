@@ -68,8 +68,9 @@ def outside_bands(fragments: DataFrame, bands: DataFrame, keys: list[str]) -> Da
     return out.unionByName(points.where("__y IS NULL").select(*given))
 
 
-def uncovered(rects: DataFrame, images: DataFrame, key: str, share: float = 0.6) -> DataFrame:
-    """Rectangles that no image of the same page covers by more than ``share`` of their area, which is a half at least.
+def uncovered(rects: DataFrame, images: DataFrame, key: str, share: float = 0.6, least: Column | None = None) -> DataFrame:
+    """Rectangles that no image of the same page covers by more than ``share`` of their area, which is a half at least. ``least`` is that share of the area
+    where the caller multiplies in another order, as products of doubles are rounded one by one.
 
     Such an image contains the rectangle's centre. Images are dealt to the cells of a grid that they touch, at a level where
     a cell is as large as they are, so at most four; a centre lies in one cell of each level. Of the images in a cell, those that lie within another
@@ -93,9 +94,9 @@ def uncovered(rects: DataFrame, images: DataFrame, key: str, share: float = 0.6)
         i = dealt.select("__k", "__cx", "__cy", *[F.col(c).alias(f"__i{c}") for c in box])
         wide = F.greatest(F.lit(0.0), F.least("x1", "__ix1") - F.greatest("x0", "__ix0"))
         high = F.greatest(F.lit(0.0), F.least("y1", "__iy1") - F.greatest("y0", "__iy0"))
-        area = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
+        bound = share * ((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))) if least is None else least
         here = (F.col(key) == F.col("__k")) & (cell(F.col("__x")) == F.col("__cx")) & (cell(F.col("__y")) == F.col("__cy"))
-        left = left.join(i, here & (wide * high > share * area), "left_anti")
+        left = left.join(i, here & (wide * high > bound), "left_anti")
     return left.drop("__x", "__y")
 
 
