@@ -184,8 +184,9 @@ SELECT page_id, regexp_extract(url, '://([^/?#]*)', 1) AS host, split_part(url,
 """)
 def url_parts(spark: SparkSession, d: str) -> DataFrame:
     bare = F.split_part("url", F.lit("?"), F.lit(1))
+    coded = F.replace(F.base64(F.col("url").cast("binary")), F.lit("\r\n"), F.lit(""))  # Spark breaks lines after 76 characters
     return read(spark, d, "pages").select(
-        "page_id", F.regexp_extract("url", "://([^/?#]*)", 1).alias("host"), bare.alias("bare"), F.regexp_extract(bare, "([^/]*)/?$", 1).alias("base"), F.substring(F.md5("url"), 1, 16).alias("short_id"), F.concat(F.lit("data:text/plain;base64,"), F.base64(F.col("url").cast("binary"))).alias("uri")
+        "page_id", F.regexp_extract("url", "://([^/?#]*)", 1).alias("host"), bare.alias("bare"), F.regexp_extract(bare, "([^/]*)/?$", 1).alias("base"), F.substring(F.md5("url"), 1, 16).alias("short_id"), F.concat(F.lit("data:text/plain;base64,"), coded).alias("uri")
     )
 
 

@@ -21,3 +21,9 @@ def test_rectangle_covered_by_its_share_exactly(spark, tmp_path):
     items = [(1, 31, 11, 1, 1.0), (1, 22, 8, 1, 1.0), (2, 31, 11, 1, 1.0), (2, 21, 8, 1, 1.0)]
     got, want = rows_and_wanted(spark, tmp_path, "rect_overlap_anti", lineitem=(items, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double"))
     assert got == want and len(want) == 1
+
+
+def test_long_urls_are_coded_in_one_line(spark, tmp_path):
+    pages = [(1, "https://a.example/" + "x" * 200 + "?q=1"), (2, "http://b.example/"), (3, None)]
+    got, want = rows_and_wanted(spark, tmp_path, "url_parts", pages=(pages, "page_id long, url string"))
+    assert repr(got) == repr(want)
