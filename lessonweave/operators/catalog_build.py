@@ -47,9 +47,26 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     return lessons.select("chapter_id", "chapter", "lesson_id", "lesson", "part", F.explode("resources").alias("r")).select("chapter_id", "chapter", "lesson_id", "lesson", "part", "r.*")
 
 
-def lesson_lists(rows: DataFrame, key: list[str], text: str, order: list[str], most: int = MOST) -> DataFrame:
-    """(key, part, n, listing): texts of each key in order, joined by commas, at most ``most`` in a row."""
+def lesson_lists(rows: DataFrame, key: list[str], text: str, order: list[str], most: int = MOST, sep: str = ",") -> DataFrame:
+    """(key, part, n, listing): texts of each key in order, joined by ``sep``, at most ``most`` in a row."""
     placed = places(rows, key, order, "__place")
     parts = placed.withColumn("part", F.floor((F.col("__place") - 1) / most)).groupBy(*key, "part")
-    listing = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__place", text))), lambda x: x[text]), ",")
+    listing = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__place", text))), lambda x: x[text]), sep)
     return parts.agg(F.count(F.lit(1)).alias("n"), listing.alias("listing"))
+
+
+def chapter_rollup(chapters: DataFrame, lessons: DataFrame, resources: DataFrame, most: int = MOST) -> DataFrame:
+    """(chapter, lessons, resources, listing) of each chapter (chapter_id, chapter), those without lessons (chapter_id, lesson_id, lesson) too: how many lessons and
+    resources (lesson_id, pos, name) it has, and ``lesson:name;name`` of its lessons by id, parted by bars.
+
+    Names are put in order and joined by ``most`` in many tasks; only these pieces, which are what the chapter's row holds in the end, meet by lesson and chapter."""
+    counts = resources.groupBy("lesson_id").agg(F.count(F.lit(1)).alias("__n"))
+    pieces = lesson_lists(resources.where("name IS NOT NULL"), ["lesson_id"], "name", ["pos"], most, ";")
+    in_order = lambda key, text, sep: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, text))), lambda x: x[text]), sep)
+    names = pieces.groupBy("lesson_id").agg(in_order("part", "listing", ";").alias("__names"))
+    known = lessons.join(counts, "lesson_id", "left").join(names, "lesson_id", "left")
+    line = F.concat("lesson", F.lit(":"), F.coalesce("__names", F.lit("")))
+    known = known.select("chapter_id", "lesson_id", F.coalesce("__n", F.lit(0)).alias("__n"), line.alias("__line"))
+    found = known.groupBy("chapter_id").agg(F.count("lesson_id").alias("__lessons"), F.sum("__n").alias("resources"), in_order("lesson_id", "__line", "|").alias("listing"))
+    joined = chapters.join(found, "chapter_id", "left")
+    return joined.select("chapter", F.coalesce("__lessons", F.lit(0)).alias("lessons"), "resources", "listing")

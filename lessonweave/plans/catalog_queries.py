@@ -171,15 +171,21 @@ def status_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH c AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS place FROM customer),
-l AS (SELECT c_nationkey, (place - 1) // 100 AS part, count(*) AS resources, string_agg(c_name, ',' ORDER BY c_custkey) AS listing FROM c GROUP BY 1, 2)
-SELECT r_name AS chapter, n_name AS lesson, part, resources, listing FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN l ON c_nationkey = n_nationkey
+WITH l AS (
+  SELECT n_regionkey, n_nationkey, n_name, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS n,
+    (SELECT string_agg(c_name, ';' ORDER BY c_custkey) FROM (SELECT * FROM customer WHERE c_nationkey = n_nationkey)) AS names
+  FROM nation
+)
+SELECT r_name AS chapter, count(n_nationkey) AS lessons, CAST(sum(n) AS BIGINT) AS resources,
+  string_agg(n_name || ':' || coalesce(names, ''), '|' ORDER BY n_nationkey) AS listing
+FROM region LEFT JOIN l ON n_regionkey = r_regionkey GROUP BY r_regionkey, r_name
 """)
 def catalog_rollup(spark: SparkSession, d: str) -> DataFrame:
-    """Chapter, lesson and its resources in rows of a bounded length; lessons without any have a row too."""
-    lists = build.lesson_lists(read(spark, d, "customer").select("c_nationkey", "c_custkey", "c_name"), ["c_nationkey"], "c_name", ["c_custkey"], 100).withColumnRenamed("n", "resources")
-    lessons = read(spark, d, "region").join(read(spark, d, "nation"), F.col("r_regionkey") == F.col("n_regionkey"))
-    return lessons.join(lists, F.col("n_nationkey") == F.col("c_nationkey"), "left").select(F.col("r_name").alias("chapter"), F.col("n_name").alias("lesson"), "part", "resources", "listing")
+    """Lessons and resources of each chapter, counted and listed."""
+    chapters = read(spark, d, "region").select(F.col("r_regionkey").alias("chapter_id"), F.col("r_name").alias("chapter"))
+    lessons = read(spark, d, "nation").select(F.col("n_regionkey").alias("chapter_id"), F.col("n_nationkey").alias("lesson_id"), F.col("n_name").alias("lesson"))
+    resources = read(spark, d, "customer").select(F.col("c_nationkey").alias("lesson_id"), F.col("c_custkey").alias("pos"), F.col("c_name").alias("name"))
+    return build.chapter_rollup(chapters, lessons, resources)
 
 
 @query("""
