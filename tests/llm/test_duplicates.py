@@ -228,3 +228,20 @@ def test_components(spark):
     want = roots(len(nodes), [(place[a], place[b]) for a, b in edges if a != b])
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long").withColumn("c", F.lit(1))).collect()}
     assert got == {x: nodes[want[place[x]]] for x in nodes}
+
+
+def test_line_dedup_compares_all_lines_of_a_large_block(spark):
+    """Pairs of lines of 30 words, all frequent, which have nothing but a head in common with 900 others: neighbours in an order of hashes miss many."""
+    rng = random.Random(5)
+    words = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrt"]
+    norms = []
+    for _ in range(450):
+        line = ["every", "line", "begins", "so", *[rng.choice(words) for _ in range(26)]]
+        other = list(line)
+        for at in (6, 10, 14, 18, 22, 26):  # one word of each run but the first
+            other[at] = other[at][:2] + rng.choice("lmnrt")
+        norms += [" ".join(line), " ".join(other)]
+    kept = {r["id"]: tuple(r["kept"]) for r in line_dedup.line_groups(frame(spark, list(enumerate(norms)))).collect()}
+    ids = [r["id"] for r in frame(spark, list(enumerate(norms))).select("doc_id", F.xxhash64("text").alias("id")).orderBy("doc_id").collect()]
+    same = sum(a == b or (a in kept and kept.get(a) == kept.get(b)) for a, b in zip(ids[::2], ids[1::2], strict=True))
+    assert same >= 445
