@@ -53,13 +53,15 @@ def closure(start: DataFrame, steps: DataFrame) -> DataFrame:
     """Keys that ``steps`` (a, b) reach from ``start`` (k). Only what is new in a round goes on in the next, until nothing is.
 
     Each round's new keys are written to the checkpoint folder, so that a round reads the tables before it and no plan grows with the number of rounds.
+    Joins are by shuffle: a broadcast would bring every round's tables to the driver again.
     """
+    steps = durable(steps.where("a IS NOT NULL AND b IS NOT NULL")).hint("merge")
     front = durable(start.where("k IS NOT NULL").distinct())
     parts = [front]
     while not front.isEmpty():
         new = front.join(steps, front["k"] == steps["a"]).select(F.col("b").alias("k")).where("k IS NOT NULL").distinct()
         for part in parts:
-            new = new.join(part, "k", "left_anti")
+            new = new.join(part.hint("merge"), "k", "left_anti")
         front = durable(new)
         parts.append(front)
         if len(parts) > _KEPT_APART:

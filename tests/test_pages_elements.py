@@ -170,3 +170,17 @@ def test_line_rules(spark):
     cases = {"什么？": (False, False), "是什么？": (True, False), "填_____空": (True, False), "思考1：为什么": (True, False), "1.什么是电流": (True, False), "1.电流是。": (False, False), "A．甲": (False, True), "如 A．甲甲甲甲 B．乙": (False, True), "A 点": (False, False), None: (False, False)}
     rows = spark.createDataFrame([(t,) for t in cases], "t string").select("t", F.coalesce(lines.needs_answer(F.col("t")), F.lit(False)).alias("a"), F.coalesce(lines.has_option(F.col("t")), F.lit(False)).alias("o")).collect()
     assert {r.t: (r.a, r.o) for r in rows} == cases
+
+
+def test_closure_broadcasts_no_table(spark, monkeypatch):
+    """A broadcast goes through the driver, in every round again."""
+    plans, durable = [], markup.durable
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return durable(df)
+
+    monkeypatch.setattr(markup, "durable", seen)
+    steps = spark.createDataFrame([(k, k + 1) for k in range(12)], "a int, b int")
+    assert markup.closure(spark.createDataFrame([(0,)], "k int"), steps).count() == 13
+    assert len(plans) > 12 and not any("Broadcast" in p for p in plans)
