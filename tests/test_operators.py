@@ -175,3 +175,11 @@ def test_bands_need_no_join(spark):
     b = spark.createDataFrame([(1, 5.0, 7.0)], "page int, lo double, hi double")
     plan = blocks.outside_bands(f, b, ["page"])._jdf.queryExecution().toString()
     assert "Join" not in plan and "Window" in plan
+
+
+def test_offsets_are_packed_page_by_page():
+    import pandas as pd
+
+    found = mathx.html_offsets.func(pd.Series(["<p>a&amp;b</p>", None, ""]))
+    assert found["at"][0].dtype.itemsize == 4 and list(found["at"][0]) == [3, 4, 9] and found["plain"][0] == "a&b"
+    assert found["at"][1] is None and found["plain"][2] == "" and len(found["at"][2]) == 0
