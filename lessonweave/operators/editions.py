@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lessonweave.checkpoints import durable
 from lessonweave.operators.answers import answer_lines
 from lessonweave.operators.lines import has_option
-from lessonweave.operators.sectioning import answer_sections, answers, items, sections
+from lessonweave.operators.sectioning import answer_sections, answers, paragraphs, sections
 
 #: Fixed value: what stands for an answer to a task that has none.
 OPEN_TASK = "（开放性任务，答案略）"
@@ -16,7 +16,7 @@ OPEN_TASK = "（开放性任务，答案略）"
 
 def _bodies(decided: DataFrame) -> DataFrame:
     """(doc, sid, body, options, chars) of each section's paragraphs and tables."""
-    own = items(decided).where("kind <> 'fig'")
+    own = paragraphs(decided)
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "pos", "value"))), lambda x: x["value"]), "\n")
     return own.groupBy("doc", "sid").agg(text.alias("body"), F.bool_or(has_option(F.col("value"))).alias("options"), F.sum(F.length("value")).alias("chars"))
 
@@ -45,11 +45,11 @@ def edition(decided: DataFrame, mode: str) -> DataFrame:
         listed = found.select("doc", F.lit(1).alias("part"), "place", F.lit(0).alias("sub"), F.concat("title", F.lit("　"), "text").alias("line"))
         return tasks.unionByName(listed)
     bodies = every.join(_bodies(decided), ["doc", "sid"], "left")
-    row = lambda rows, sub, line: rows.select("doc", F.lit(0).alias("part"), F.col("sid").alias("place"), F.lit(sub).alias("sub"), line.alias("line")).where("line IS NOT NULL")
     title = F.when(F.col("kind") == "q", F.concat(F.col("no").cast("string"), F.lit("．"))).otherwise(F.col("title"))
-    shown = row(bodies, 0, title).unionByName(row(bodies, 1, F.col("body")))
-    questions = bodies.where("kind = 'q'")
     if mode == "student":
-        room = F.when(~F.coalesce("options", F.lit(False)), F.repeat(F.lit("_"), answer_lines(F.coalesce("chars", F.lit(0)))))
-        return shown.unionByName(row(questions, 2, room))
-    return shown.unionByName(row(_with_answers(questions.select("doc", "sid", "grp", "no"), found), 2, F.col("line")))
+        last = F.when(~F.coalesce("options", F.lit(False)), F.repeat(F.lit("_"), answer_lines(F.coalesce("chars", F.lit(0)))))
+    else:
+        bodies, last = _with_answers(bodies, found), F.col("line")  # sections that are no questions have no number
+    shown = [title, F.col("body"), F.when(F.col("kind") == "q", last)]
+    rows = bodies.select("doc", "sid", F.explode(F.array(*[F.struct(F.lit(sub).alias("sub"), line.alias("line")) for sub, line in enumerate(shown)])).alias("x"))
+    return rows.select("doc", F.lit(0).alias("part"), F.col("sid").alias("place"), "x.sub", "x.line").where("line IS NOT NULL")

@@ -15,7 +15,7 @@ count as their plain forms.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import Any
 
 import pyarrow as pa
@@ -52,13 +52,13 @@ _BRACKET_NO = rf"^[\[【][^】]{{1,12}}[\]】]{_S}*{_N}{_S}*[.．、]"
 #: Words that begin a derivation.
 _DERIVES = "由 因 根据 解 答 故 选 设 当 若 则".split()
 #: A number within a list of answers: after white space, and no decimal point unless it is a full-width one.
-MARK = rf"(?<![^\s\x{{3000}}])({_N})(?:\.(?![0-9０-９])|[．、])(?={_S}*[^\s\x{{3000}}])"
+MARK = rf"(?=[0-9０-９])(?<![^\s\x{{3000}}])({_N})(?:\.(?![0-9０-９])|[．、])(?={_S}*[^\s\x{{3000}}])"
 PAIR = rf"({_N}){_S}*({_L}{{1,4}})(?![A-Za-z0-9])"
 _EVIDENCE = rf"^【{_S}*(?:答案|解析|详解|解答|点拨){_S}*】"
 
 
 def trimmed(text: Column) -> Column:
-    return F.regexp_replace(F.coalesce(text, F.lit("")), rf"^{_S}+|{_S}+$", "")
+    return F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r\u3000"))
 
 
 def number(text: Column) -> Column:
@@ -92,43 +92,52 @@ def answer_marks(text: Column) -> Column:
     return F.when((F.size(numbers) > 0) & (F.element_at(bodies, 1) != ""), F.concat(F.array(head), marked)).when(F.size(numbers) > 0, marked).otherwise(F.slice(marked, 1, 0))
 
 
+def mark_numbers(text: Column) -> Column:
+    """The numbers of ``answer_marks``."""
+    numbers = F.transform(F.regexp_extract_all(text, F.lit(MARK), F.lit(1)), number)
+    head = F.array(F.lit(None).cast("int"))
+    return F.when((F.size(numbers) > 0) & (trimmed(F.get(F.split(text, MARK, 2), 0)) != ""), F.concat(head, numbers)).otherwise(numbers)
+
+
 def answer_pairs(text: Column) -> Column:
     """``1AB 2C`` as an array of (no, body)."""
     numbers, letters = (F.regexp_extract_all(text, F.lit(PAIR), F.lit(k)) for k in (1, 2))
     return F.zip_with(numbers, letters, lambda n, b: F.struct(number(n).alias("no"), b.alias("body")))
 
 
+def _headings() -> dict[str, Column]:
+    """A block's title, what stands behind it, and what stands behind an answer's heading."""
+    t, head = F.col("t"), _first(F.col("t"), _TITLE)
+    return {"head": head, "rest": F.when(head.isNotNull(), _after(t, _TITLE)), "body": F.when(t.rlike(_ANSWER_HEAD), _after(t, _ANSWER_HEAD + rf"{_S}*[:：]?")).otherwise(t)}
+
+
 def features(blocks: DataFrame, least: int = LEAST_ROWS) -> tuple[DataFrame, bool]:
     """Blocks with all that can be told of each without its past; the columns that begin with ``f_`` are the machine's input; and whether documents are cut into ranges."""
     t = F.col("t")
     b = blocks.select("doc", "idx", F.coalesce("kind", F.lit("p")).alias("kind"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("figures", F.array().cast("array<string>")).alias("figures"))
-    b = b.withColumn("t", trimmed(F.col("text")))
+    b = b.where("doc IS NOT NULL").withColumn("t", trimmed(F.col("text")))
     p = F.col("kind") != "table"
     seen = F.struct(
         p.alias("p"), t.rlike(_NO).alias("no"), F.translate(_first(t, _OPTION), "ＡＢＣＤ", "ABCD").alias("option"), t.rlike(_FIRST_PAREN).alias("sub"), (t.rlike(_NO) | t.rlike(_BRACKET_NO)).alias("asks"),
     )
     b, cut = in_ranges(b.withColumn("seen", seen), ["doc"], "idx", least)
-    # What follows skips empty paragraphs; the kind of document is told by the two very next blocks.
-    solid = following(b.where((t != "") | ~p).select("doc", "idx", RANGE, "seen"), ["doc"], "idx", F.col("seen"), 4, "next", cut=cut).select("doc", "idx", "next")
-    b = b.join(solid, ["doc", "idx"], "left")
+    if not cut:
+        b = b.repartition("doc")  # all that follows, the machine too, finds a document's blocks in one task
     b = following(b, ["doc"], "idx", p & F.col("seen.option").isNotNull(), 2, "o2", cut=cut)
-    b = b.join(_documents(b), "doc", "left")
+    b = _told_by_join(b) if cut else _told_in_place(b)
+    # What follows skips empty paragraphs; the kind of document is told by the two very next blocks.
+    b = following(b.withColumn("__solid", (t != "") | ~p), ["doc", "__solid"], "idx", F.col("seen"), 4, "next", cut=cut)
+    b = b.withColumn("next", F.when(F.col("__solid"), F.col("next")))
     upto = F.col("next")  # a table ends what is looked at
     table = F.array_position(F.transform(upto, lambda x: ~x["p"]), True).cast("int")
     upto = F.coalesce(F.when(table > 0, F.slice(upto, F.lit(1), table - 1)).otherwise(upto), F.array().cast(b.schema["next"].dataType))
     b = b.withColumn("next", upto)
     letter = F.get(F.filter(F.transform("next", lambda x: x["option"]), lambda x: x.isNotNull()), 0)
-    head = _first(t, _TITLE)
-    rest = _after(t, _TITLE)
-    marks, pairs = answer_marks(F.col("body")), answer_pairs(F.col("body"))
-    b = b.withColumn("head", head).withColumn("rest", F.when(head.isNotNull(), rest))
-    answer_head = t.rlike(_ANSWER_HEAD)
-    b = b.withColumn("body", F.when(answer_head, _after(t, _ANSWER_HEAD + rf"{_S}*[:：]?")).otherwise(t))
-    numbers = lambda a: F.transform(a, lambda x: x["no"])
+    b, answer_head = b.withColumns(_headings()), t.rlike(_ANSWER_HEAD)
     context = F.create_map(*[F.lit(x) for kv in TITLES.items() for x in kv])
     first = F.get("next", 0)
     found = b.select(
-        "doc", "idx", RANGE, "kind", "text", "figures", "t", "head", "rest", "body",
+        "doc", "idx", RANGE, "kind", "text", "figures", "t",
         (t == "").alias("f_blank"), (~p).alias("f_table"), (F.size("figures") > 0).alias("f_figures"),
         F.coalesce(F.col("idx") == F.col("forced"), F.lit(False)).alias("f_forced"), F.col("exercise").alias("f_exercise"),
         F.when(t.rlike(rf"^{_N}\.{_N}{_S}*."), 2).when(t.rlike(ABOVE), 1).otherwise(0).alias("f_above"), t.rlike(BOILERPLATE).alias("f_boiler"),
@@ -137,7 +146,7 @@ def features(blocks: DataFrame, least: int = LEAST_ROWS) -> tuple[DataFrame, boo
         F.when(t.rlike(_TASK), F.when(F.contains(F.regexp_extract(t, _TASK, 0), F.lit("自我测评")), "exercise").otherwise("task")).alias("f_task"), t.rlike(_PIECE).alias("f_piece"),
         F.when(t.rlike(_DIVIDER) & ~t.rlike("^【[^】]*(答案|解析)"), F.when(F.contains(t, F.lit("自我测评")), "exercise").otherwise("same")).alias("f_divider"),
         answer_head.alias("f_answer_head"), (F.col("body") == "").alias("f_bare"), number(_first(t, _ANSWER_NO)).alias("f_answer_no"), t.rlike(_EXPLAIN).alias("f_explain"),
-        numbers(marks).alias("f_marks"), numbers(pairs).alias("f_pairs"), letter.alias("f_letter"),
+        mark_numbers(F.col("body")).alias("f_marks"), F.transform(answer_pairs(F.col("body")), lambda x: x["no"]).alias("f_pairs"), letter.alias("f_letter"),
         F.coalesce(F.exists(F.slice("next", 1, 2), lambda x: x["sub"]), F.lit(False)).alias("f_sub"),
         F.coalesce(first["asks"], F.lit(False)).alias("f_asks"), F.coalesce(first["option"].isNull() & F.get("next", 1)["option"].isNotNull(), F.lit(False)).alias("f_stem"),
         F.coalesce(first["no"], F.lit(True)).alias("f_numbered"),
@@ -145,18 +154,36 @@ def features(blocks: DataFrame, least: int = LEAST_ROWS) -> tuple[DataFrame, boo
     return found, cut
 
 
-def _documents(b: DataFrame) -> DataFrame:
-    """(doc, exercise, forced): whether a document is questions from its beginning, and the block from which it is."""
+def _evidence() -> tuple[dict[str, Column], Column]:
+    """What tells the kind of a document, as aggregates of its blocks, and the blocks from which questions may begin."""
     p, t = F.col("seen.p"), F.col("t")
     evidence, titled = p & t.rlike(_EVIDENCE), p & t.rlike(_TITLE + "$")
     asks = p & F.col("seen.no") & F.exists("o2", lambda x: x)
-    told = b.groupBy("doc").agg(
-        F.bool_or(titled).alias("titled"), F.count_if(evidence).alias("evidence"), F.count_if(asks).alias("asks"),
-        F.min(F.when(evidence, F.col("idx"))).alias("answers"), F.min(F.when(p & F.startswith(t, F.lit("课后练习")), F.col("idx"))).alias("headed"),
-    )
-    before = b.join(told.where("answers IS NOT NULL AND (headed IS NULL OR headed >= answers)").select("doc", "answers"), "doc").where(p & F.col("seen.no") & (F.col("idx") < F.col("answers")))
-    forced = before.groupBy("doc").agg(F.max("idx").alias("forced"))
-    return told.select("doc", (~F.col("titled") & ((F.col("evidence") >= 3) | (F.col("asks") >= 3))).alias("exercise")).join(forced, "doc", "left")
+    told = {
+        "titled": F.bool_or(titled), "evidence": F.count_if(evidence), "asks": F.count_if(asks),
+        "answers": F.min(F.when(evidence, F.col("idx"))), "headed": F.min(F.when(p & F.startswith(t, F.lit("课后练习")), F.col("idx"))),
+    }
+    return told, p & F.col("seen.no") & (F.col("idx") < F.col("answers")) & (F.col("headed").isNull() | (F.col("headed") >= F.col("answers")))
+
+
+def _exercise() -> Column:
+    return ~F.col("titled") & ((F.col("evidence") >= 3) | (F.col("asks") >= 3))
+
+
+def _told_in_place(b: DataFrame) -> DataFrame:
+    """Blocks with ``exercise``, whether their document is questions from its beginning, and ``forced``, the block from which it is."""
+    told, before = _evidence()
+    by_doc = Window.partitionBy("doc")
+    b = b.withColumns({k: v.over(by_doc) for k, v in told.items()})
+    return b.withColumns({"exercise": _exercise(), "forced": F.max(F.when(before, F.col("idx"))).over(by_doc)}).drop(*told)
+
+
+def _told_by_join(b: DataFrame) -> DataFrame:
+    """The same for documents that are cut into ranges."""
+    aggregates, before = _evidence()
+    told = b.groupBy("doc").agg(*[v.alias(k) for k, v in aggregates.items()])
+    forced = b.join(told.where("answers IS NOT NULL").select("doc", "answers", "headed"), "doc").where(before).groupBy("doc").agg(F.max("idx").alias("forced"))
+    return b.join(told.select("doc", _exercise().alias("exercise")).join(forced, "doc", "left"), "doc", "left")
 
 
 #: What is carried from block to block: context, whether answers are read, the number whose answer is open, the open question, whether the
@@ -281,32 +308,34 @@ def _answer(s: dict[str, Any], f: dict[str, Any], marks: list[int | None]) -> tu
 _OUT = {"act": pa.string(), "number": pa.int32(), "opened": pa.int32(), "questions": pa.int32(), "groups": pa.int32(), "waits": pa.int64(), "state": pa.string()}
 
 
-def _run(rows: DataFrame) -> DataFrame:
+def _run(rows: DataFrame, carried: Sequence[str] = (), placed: bool = False) -> DataFrame:
     """Decisions (doc, __range, idx, act, number, opened, questions, groups, waits, state) for rows with features and
-    ``__in``, the state that a range begins with, or null for a guess; ``state`` is set on a range's last row."""
-    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    ``__in``, the state that a range begins with, or null for a guess; ``state`` is set on a range's last row. Columns that are ``carried`` pass by the machine;
+    rows that are ``placed`` have each document in one task already."""
+    schema = rows.select("doc", RANGE, "idx", *carried).schema
     inputs = sorted(c for c in rows.columns if c.startswith("f_"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, state, last = None, dict(START), None
+        now, state, held = None, dict(START), None
         for batch in batches:
-            out: list[list] = []
-            columns = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}
+            if not batch.num_rows:
+                continue
+            columns = {n: batch.column(n).to_pylist() for n in ("doc", RANGE, "idx", "__in", *inputs)}
+            out: list[tuple] = []
+            ends: list[str | None] = []  # of the row before each
             for i, key in enumerate(zip(columns["doc"], columns[RANGE], strict=True)):
                 f = {c: columns[c][i] for c in inputs} | {"idx": columns["idx"][i]}
-                # A row goes on its way when the next one tells whether its range goes on.
-                if last is not None:
-                    last[-1] = json.dumps(state) if key != now else None
-                    out.append(last)
+                ends.append(json.dumps(state) if key != now and now is not None else None)
                 if key != now:
                     given = columns["__in"][i]
                     now, state = key, json.loads(given) if given else START | {"answered": [], "context": "exercise" if f["f_exercise"] else "list", "begun": key[1] > 0}
-                last = [*key, f["idx"], *decided_row(state, f), None]
-            if out:
-                yield pack(out)
-        if last is not None:
-            last[-1] = json.dumps(state)
-            yield pack([last])
+                out.append(decided_row(state, f))
+            # A batch goes on its way when the next one tells whether its last range goes on.
+            if held is not None:
+                yield pack(*held, ends[0])
+            held = batch, out, ends[1:]
+        if held is not None:
+            yield pack(*held, json.dumps(state))
 
     def decided_row(state: dict[str, Any], f: dict[str, Any]) -> tuple:
         """(act, number, opened, questions, groups, waits): ``waits`` names the first of the titles whose figures wait for one question, at these and at the question."""
@@ -318,27 +347,31 @@ def _run(rows: DataFrame) -> DataFrame:
         waits = (held if held is not None else f["idx"] if joins else None) if joins or questions else None
         return act, number, len(opened), questions, int(f["f_forced"]) + int(titled), waits
 
-    def pack(out: list[list]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+    def pack(batch: pa.RecordBatch, out: list[tuple], ends: list[str | None], end: str | None) -> pa.RecordBatch:
+        found = [*zip(*out, strict=True), [*ends, end]]
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in passed), *(pa.array(c, t) for c, t in zip(found, _OUT.values(), strict=True))], names=[*passed, *_OUT])
 
-    names = ["doc", RANGE, "idx", *_OUT]
-    empty = rows.select("doc", RANGE, "idx").limit(0).toArrow().schema
-    kinds = [*(empty.field(i).type for i in range(3)), *_OUT.values()]
-    schema = f"doc {types['doc']}, {RANGE} int, idx {types['idx']}, act string, number int, opened int, questions int, groups int, waits long, state string"
-    return rows.select("doc", RANGE, "idx", "__in", *inputs).repartition("doc", RANGE).sortWithinPartitions("doc", RANGE, "idx").mapInArrow(run, schema)
+    passed = schema.names
+    schema = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in schema) + ", act string, number int, opened int, questions int, groups int, waits long, state string"
+    used = rows.select(*passed, "__in", *inputs)
+    dealt = used if placed else used.repartition("doc", RANGE)
+    return dealt.sortWithinPartitions("doc", RANGE, "idx").mapInArrow(run, schema)
 
 
-def decisions(blocks: DataFrame, least: int = LEAST_ROWS) -> DataFrame:
-    """Blocks with their act, number, group, and the sections (``sid``, from 1) that they open and stand in."""
+def decisions(blocks: DataFrame, least: int = LEAST_ROWS, texts: bool = True) -> DataFrame:
+    """Blocks with their act, number, group, and the sections (``sid``, from 1) that they open and stand in; without ``texts``, nothing but that and the decisions' own columns."""
     ranged, cut = features(blocks, least)
+    own = ["kind", "text", "figures", "t"] if texts else []
+    ranged = ranged.withColumn("__in", F.lit(None).cast("string"))
     if cut:
         ranged = durable(ranged)
-    decided = _run(ranged.withColumn("__in", F.lit(None).cast("string")))
-    if cut:
-        decided = _settled(ranged, decided)
-    rows = ranged.drop(*[c for c in ranged.columns if c.startswith("f_")]).join(decided.drop("state"), ["doc", RANGE, "idx"])
+        decided = _settled(ranged.drop("__in"), _run(ranged))
+        rows = ranged.select("doc", RANGE, "idx", *own).join(decided.drop("state"), ["doc", RANGE, "idx"]) if texts else decided.drop("state")
+    else:
+        rows = _run(ranged, own, placed=True).drop("state")
     rows = prefix_scan(rows, ["doc"], "idx", sums={"sid": F.col("opened"), "grp": F.col("groups")}, cut=cut)
-    return prefix_scan(rows, ["doc"], "idx", lasts={"qid": F.when(F.col("questions") > 0, F.col("sid"))}, cut=cut).drop("groups", RANGE)
+    rows = prefix_scan(rows, ["doc"], "idx", lasts={"qid": F.when(F.col("questions") > 0, F.col("sid"))}, cut=cut).drop("groups", RANGE)
+    return rows.withColumns(_headings()) if texts else rows
 
 
 def _settled(ranged: DataFrame, decided: DataFrame) -> DataFrame:
@@ -388,20 +421,40 @@ def sections(decided: DataFrame) -> DataFrame:
         "doc", "sid", F.when(F.col("number").isNotNull(), "q").otherwise("task").alias("kind"), F.when(F.col("number").isNull(), F.col("title")).alias("title"), F.col("number").alias("no"), F.when(F.col("number").isNotNull(), F.col("grp")).alias("grp"),
     )
     heads = opened.where(act.isin("title", "title_stem")).select("doc", (F.col("sid") - F.col("opened") + 1).alias("sid"), F.lit("h").alias("kind"), "title", F.lit(None).cast("int").alias("no"), F.lit(None).cast("long").alias("grp"))
-    first = items(decided).where("sid = 0").select("doc", "sid").distinct().select("doc", "sid", F.lit("h").alias("kind"), F.lit("正文").alias("title"), F.lit(None).cast("int").alias("no"), F.lit(None).cast("long").alias("grp"))
+    # Of the items of a section, one stays at least.
+    some = _texts(decided).select("doc", "sid").unionByName(_figures(decided).select("doc", "sid"))
+    first = some.where("sid = 0").distinct().select("doc", "sid", F.lit("h").alias("kind"), F.lit("正文").alias("title"), F.lit(None).cast("int").alias("no"), F.lit(None).cast("long").alias("grp"))
     return own.unionByName(heads).unionByName(first)
 
 
+def _target() -> Column:
+    return F.when(F.col("act").isin("option", "question_figure"), F.col("qid")).otherwise(F.col("sid"))
+
+
+def _texts(decided: DataFrame) -> DataFrame:
+    act = F.col("act")
+    found = decided.where(act.isin(_IN_SECTION)).select("doc", _target().alias("sid"), "idx", F.lit(0).alias("pos"), F.when(act == "table", "table").otherwise("p").alias("kind"), _body(F.col("t")).alias("value"))
+    return found.where("value IS NOT NULL")
+
+
+def _figures(decided: DataFrame) -> DataFrame:
+    """Figures of blocks that are nothing else."""
+    act = F.col("act")
+    return decided.where(act.isin("figure", "question_figure")).select("doc", _target().alias("sid"), "idx", F.posexplode("figures").alias("pos", "value"), (act == "question_figure").alias("own"))
+
+
+def paragraphs(decided: DataFrame) -> DataFrame:
+    """The ``items`` that are no figures."""
+    return _texts(decided)
+
+
 def items(decided: DataFrame) -> DataFrame:
     """(doc, sid, idx, pos, kind, value): paragraphs ``p``, tables and figures ``fig`` of each section, in order.
 
     Figures of an exercise go to the question before them; those beside an exercise title to the question after it, before its text. A figure that a section's text shows
     inline, or that it has already, is left out of questions and tasks.
     """
-    t, act = F.col("t"), F.col("act")
-    target = F.when(act.isin("option", "question_figure"), F.col("qid")).otherwise(F.col("sid"))
-    texts = decided.where(act.isin(_IN_SECTION)).select("doc", target.alias("sid"), "idx", F.lit(0).alias("pos"), F.when(act == "table", "table").otherwise("p").alias("kind"), _body(t).alias("value"), F.lit(False).alias("own")).where("value IS NOT NULL")
-    figures = decided.where(act.isin("figure", "question_figure")).select("doc", target.alias("sid"), "idx", F.posexplode("figures").alias("pos", "value"), (act == "question_figure").alias("own"))
+    act, texts, figures = F.col("act"), _texts(decided).withColumn("own", F.lit(False)), _figures(decided)
     waiting = decided.where("waits IS NOT NULL")
     takers = waiting.where("questions > 0").select("doc", "waits", F.col("sid").alias("to"))
     late = waiting.where(act.isin("title", "title_stem") & (F.size("figures") > 0)).select("doc", "waits", F.posexplode("figures").alias("pos", "value"), "idx").join(takers, ["doc", "waits"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lessonweave.checkpoints import durable
 from lessonweave.operators import sectioning as op
 from lessonweave.operators.editions import OPEN_TASK, edition
 from lessonweave.plans.common import collection
@@ -124,12 +125,12 @@ _ACTS = "SELECT doc, idx, act, number, sid, grp, qid FROM d"
 @query(_sql(_DOCUMENTS, _ACTS))
 def section_blocks(spark: SparkSession, d: str) -> DataFrame:
     """What each line of a document is, and the section, group and question in which it stands."""
-    return op.decisions(_documents(spark, d)).select("doc", F.col("idx").cast("long").alias("idx"), "act", "number", "sid", "grp", "qid")
+    return op.decisions(_documents(spark, d), texts=False).select("doc", F.col("idx").cast("long").alias("idx"), "act", "number", "sid", "grp", "qid")
 
 
 @query(_sql(_CONVERSATIONS, _ACTS))
 def section_turns(spark: SparkSession, d: str) -> DataFrame:
-    return op.decisions(_conversations(spark, d)).select("doc", "idx", "act", "number", "sid", "grp", "qid")
+    return op.decisions(_conversations(spark, d), texts=False).select("doc", "idx", "act", "number", "sid", "grp", "qid")
 
 
 @query(
@@ -141,7 +142,7 @@ UNION ALL SELECT DISTINCT doc, CAST(0 AS BIGINT), 'h', '正文', CAST(NULL AS IN
     )
 )
 def section_list(spark: SparkSession, d: str) -> DataFrame:
-    return op.sections(op.decisions(_documents(spark, d)))
+    return op.sections(durable(op.decisions(_documents(spark, d))))  # read several times
 
 
 _ANSWERS = r""", a AS (SELECT doc, grp, idx, number AS no, 0 AS pos, CASE WHEN act IN ('explanation', 'more') THEN '解析' ELSE '答案' END AS tag,
@@ -154,7 +155,7 @@ _ANSWER_LIST = "SELECT doc, grp, no, row_number() OVER (PARTITION BY doc ORDER B
 
 @query(_sql(_DOCUMENTS, _ANSWERS + _ANSWER_LIST))
 def section_answers(spark: SparkSession, d: str) -> DataFrame:
-    return op.answer_sections(op.answers(op.decisions(_documents(spark, d))))
+    return op.answer_sections(op.answers(durable(op.decisions(_documents(spark, d)))))
 
 
 _SECTIONS = r""", se AS (SELECT doc, sid - CASE WHEN act = 'title_stem' THEN 1 ELSE 0 END AS sid, 'h' AS kind, head AS title, CAST(NULL AS INTEGER) AS no, CAST(NULL AS BIGINT) AS grp FROM d WHERE act IN ('title', 'title_stem')

@@ -118,3 +118,14 @@ def test_editions(spark):
     assert lines("answer") == [("d", 0, 4, 1, OPEN_TASK), ("d", 1, 1, 0, "1．答案　A"), ("d", 1, 2, 0, "2．解析　因为\n略"), ("plain", 1, 1, 0, "2．答案　B")]
     with pytest.raises(ValueError):
         edition(decided, "other")
+
+
+def test_blocks_are_dealt_once_for_the_machine(spark):
+    decided = S.decisions(frame(spark, CASES))
+    plan = decided._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan
+
+
+def test_white_space_is_trimmed_as_sql_does(spark):
+    rows = spark.createDataFrame([(" 　a b　\t\n",), ("a  ",), ("　 ",), (None,)], "t string")
+    assert [r[0] for r in rows.select(S.trimmed(F.col("t"))).collect()] == ["a b", "a  ", "", ""]
