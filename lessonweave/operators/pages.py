@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lessonweave.checkpoints import durable
 from lessonweave.operators.blocks import merge_rects, outside_bands, paragraphs, uncovered
 from lessonweave.operators.scans import places
 
@@ -42,7 +43,7 @@ def text_items(lines: DataFrame, page: str, block: str) -> DataFrame:
     keys = [page, block]
     solid = lines.where(F.trim("text") != "")
     tops = solid.groupBy(*keys).agg(F.min("y0").alias("y0"))
-    joined = paragraphs(without_fragments(solid, keys), keys, ["y0", "line"])
+    joined = paragraphs(durable(without_fragments(solid, keys)), keys, ["y0", "line"])
     plain = F.trim("text")
     blocks = joined.where(plain != "").groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("para", plain.alias("t")))), lambda x: x["t"]), "\n").alias("text"))
     return blocks.join(tops, keys).select(*keys, "y0", "text")
@@ -66,5 +67,6 @@ def page_items(lines: DataFrame, pictures: DataFrame, drawings: DataFrame, page:
     texts = text_items(lines, page, block).select(page, F.lit(0).alias("__source"), F.col(block).cast("long").alias("__n"), F.lit("t").alias("kind"), F.col("y0").cast("double").alias("y0"), "text", F.lit(None).cast("double").alias("width"), F.lit(None).cast("double").alias("height"))
     figure = lambda rows, source: rows.select(page, F.lit(source).alias("__source"), F.col("n").cast("long").alias("__n"), F.lit("f").alias("kind"), F.col("y0").cast("double").alias("y0"), F.lit(None).cast("string").alias("text"), wide.cast("double"), high.cast("double"))
     every = texts.unionByName(figure(large, 1)).unionByName(figure(drawing_items(drawings, large, page), 2))
+    every = durable(every)  # counted before it is placed
     every = every.withColumns({"__y": F.bround("y0"), "__late": (F.col("kind") != "t").cast("int")})
     return places(every, [page], ["__y", "__late", "__source", "__n"], "place").drop("__source", "__n", "__y", "__late")
