@@ -185,7 +185,7 @@ SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'a&lt;' || o_custkey || ' <sp
 def answer_formulas(spark: SparkSession, d: str) -> DataFrame:
     c = _s("o_custkey")
     text = _turn(F.col("o_orderkey"), F.concat(F.lit("a<"), c, F.lit(" $x_{"), c, F.lit("}$ end")), F.concat(F.lit("\\sqrt{"), c, F.lit("}")), F.concat(F.lit("plain "), c, F.lit(" $")))
-    return elements.with_formulas(read(spark, d, "orders").select("o_orderkey", text.alias("text")), "o_orderkey", "text", math.latex_html, text_fn.escape_html)
+    return elements.with_formulas(read(spark, d, "orders").select("o_orderkey", text.alias("text")), "o_orderkey", "text", math.latex_htmls, text_fn.escape_html)
 
 
 @query("""

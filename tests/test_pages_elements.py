@@ -184,3 +184,33 @@ def test_closure_broadcasts_no_table(spark, monkeypatch):
     steps = spark.createDataFrame([(k, k + 1) for k in range(12)], "a int, b int")
     assert markup.closure(spark.createDataFrame([(0,)], "k int"), steps).count() == 13
     assert len(plans) > 12 and not any("Broadcast" in p for p in plans)
+
+
+def test_formulas_are_set_row_by_row(spark):
+    from lessonweave.functions import mathx
+    from lessonweave.functions import text as fn
+
+    rows = spark.createDataFrame([(1, "a<b $x_{1}$ and $x_{1}$"), (2, "\\sqrt{2}"), (3, "$ 5"), (4, None)], "k int, t string")
+    found = elements.with_formulas(rows, "k", "t", mathx.latex_htmls, fn.escape_html)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    x = '<span class="m">x<sub>1</sub></span>'
+    got = {r.k: r.html for r in found.collect()}
+    assert got.pop(2).startswith('<span class="m">√')
+    assert got == {1: f"a&lt;b {x} and {x}", 3: "$ 5", 4: ""}
+
+
+def test_slices_are_dealt_to_tasks_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(elements, "TASK_ROWS", 10)
+    rows = spark.createDataFrame([(k, f"<p>{k}</p>", 3, 4) for k in range(200)], "k int, html string, a int, b int")
+    assert elements._dealt(rows, "k", "html").rdd.getNumPartitions() == 20
+    assert {r.html for r in elements.balanced(rows, "k", "html", "a", "b").collect()} == {f"<p>{str(k)[0]}</p>" for k in range(200)}
+
+
+def test_page_items_are_computed_once(spark):
+    from lessonweave.operators import pages
+
+    lines = spark.createDataFrame([(1, 0, 0, "题", 0.0, 10.0, 0.0, 50.0, 10.0)], "page int, block int, line int, text string, y0 double, y1 double, x0 double, x1 double, size double")
+    box = "x0 double, y0 double, x1 double, y1 double"
+    found = pages.page_items(lines, spark.createDataFrame([(1, 5, 0.0, 20.0, 50.0, 60.0)], f"page int, n long, {box}"), spark.createDataFrame([], f"page int, {box}"))
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.kind for r in found.orderBy("place").collect()] == ["t", "f"]
