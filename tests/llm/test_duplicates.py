@@ -245,3 +245,25 @@ def test_line_dedup_compares_all_lines_of_a_large_block(spark):
     ids = [r["id"] for r in frame(spark, list(enumerate(norms))).select("doc_id", F.xxhash64("text").alias("id")).orderBy("doc_id").collect()]
     same = sum(a == b or (a in kept and kept.get(a) == kept.get(b)) for a, b in zip(ids[::2], ids[1::2], strict=True))
     assert same >= 445
+
+
+@pytest.mark.parametrize("copies", [True, False])
+def test_few_pairs_of_a_large_block_are_left(spark, monkeypatch, copies):
+    """Near copies that fill a block which is dealt to many tasks, or a block's lines that have half of their words in common: pairs that cannot be linked, or lie in one group, are not written."""
+    monkeypatch.setattr(line_dedup, "SAMPLE_LINES", 1000)
+    rng, seen, across = random.Random(12), [], line_dedup._across
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9)))
+    base = [word() for _ in range(40)]
+    norms = sorted({edited(rng, " ".join(base), 0.1) if copies else " ".join([*base[:12], *[word() for _ in range(12)]]) for _ in range(300)})
+
+    def counted(*args):
+        found = across(*args)
+        seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(line_dedup, "_across", counted)
+    links, ids = line_links(norms), ids_of(spark, norms)
+    kept = {r["id"]: tuple(r["kept"]) for r in line_dedup.line_groups(frame(spark, list(enumerate(norms)))).collect()}
+    group, want = [kept.get(ids[i], i) for i in range(len(norms))], roots(len(norms), links)
+    assert all((group[i] == group[j]) == (want[i] == want[j]) for i in range(len(norms)) for j in range(i))
+    assert sum(seen) < len(norms)
