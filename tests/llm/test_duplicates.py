@@ -267,3 +267,32 @@ def test_few_pairs_of_a_large_block_are_left(spark, monkeypatch, copies):
     group, want = [kept.get(ids[i], i) for i in range(len(norms))], roots(len(norms), links)
     assert all((group[i] == group[j]) == (want[i] == want[j]) for i in range(len(norms)) for j in range(i))
     assert sum(seen) < len(norms)
+
+
+def test_line_dedup_splits_the_texts_once(spark, monkeypatch):
+    """Every line is normalised and hashed in one pass; what goes is found by those hashes."""
+    calls, numbered = [], line_dedup.numbered_lines
+    monkeypatch.setattr(line_dedup, "numbered_lines", lambda documents: calls.append(1) or numbered(documents))
+    docs = frame(spark, [(1, "ka ba mo chi\nown line here"), (2, "Ka ba, mo chi\n\nother words")])
+    assert [(r["text"], r["__n_dropped"]) for r in sorted(line_dedup.dedup_lines(docs).collect())] == [("ka ba mo chi\nown line here", 0), ("\nother words", 1)]
+    assert len(calls) == 1
+
+
+def test_long_lines_of_one_language_are_not_compared_in_full(spark, monkeypatch):
+    """Long lines with a common head and common words have near SimHashes. Those with too few pieces in common are left out
+    before the edit distance; near copies of one of them are still found."""
+    rng, seen, similar = random.Random(14), [], line_dedup._similar
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+    head = [word() for _ in range(10)]
+    norms = [" ".join([*head, *[w for _ in range(70) for w in ("the", word(), "of", "and")]]) for _ in range(40)]
+    norms.append(norms[0].replace(norms[0].split()[15], "x"))
+
+    def counted(pairs, *args):
+        seen.append(pairs.count())
+        return similar(pairs, *args)
+
+    monkeypatch.setattr(line_dedup, "_similar", counted)
+    kept = {r["id"]: tuple(r["kept"]) for r in line_dedup.line_groups(frame(spark, list(enumerate(norms)))).collect()}
+    ids = ids_of(spark, norms)
+    assert set(kept) == {ids[0], ids[len(norms) - 1]} and len(set(kept.values())) == 1
+    assert sum(seen) < 3 * len(norms)
